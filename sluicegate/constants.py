@@ -21,7 +21,7 @@ DEDUP_KEY = ("user_id", "event_type", "device_id", "event_time")
 VALID_APP_IDS = ("mall_app", "h5", "mini_program")
 MIN_EVENT_TIME = "2020-01-01 00:00:00"
 MAX_FUTURE_SECONDS = 3600
-EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+EVENT_TIME_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"  # yyyy-MM-dd HH:mm:ss
 EVENT_TIME_LENGTH = 19
 OP_TYPES = {"c": "I", "r": "I", "u": "U", "d": "D"}
 WATERMARK_DELAY_MS = 5_000

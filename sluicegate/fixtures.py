@@ -111,3 +111,30 @@ def cdc_envelopes(events: DataFrame) -> DataFrame:
         ((F.unix_timestamp(F.lit(LATE_BASE)) + _id()) * 1000).alias("ts_ms"),
     )
     return events.select(_id().alias("arrival"), F.to_json(envelope).alias("raw"))
+
+
+def file_listing(events: DataFrame) -> DataFrame:
+    """A file listing: one file per day and 50th of the users, its size from the rows it would hold."""
+    name = F.concat(F.lit("part-"), F.lpad((F.col("user_id") % 50).cast("string"), 2, "0"))
+    files = events.groupBy(F.to_date("ts").alias("dt"), name.alias("_name")).agg(
+        (F.sum(_id() % 997 + 1) * 4096).alias("file_size_in_bytes")
+    )
+    number = F.substring("_name", 6, 2).cast("int")
+    return files.select(
+        "dt",
+        F.concat(F.lit("dt="), F.col("dt").cast("string"), F.lit("/"), F.col("_name")).alias("file_path"),
+        "file_size_in_bytes",
+        F.concat(F.lit("c"), (number % 7).cast("string")).alias("commit_id"),
+    )
+
+
+def snapshot_listing(events: DataFrame) -> DataFrame:
+    """A snapshot per hour of events."""
+    committed = F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("committed_at")
+    hours = events.groupBy(committed).agg(F.min("event_id").alias("snapshot_id"), F.count(F.lit(1)).alias("_rows"))
+    return hours.select(
+        "snapshot_id",
+        "committed_at",
+        F.when(F.col("snapshot_id") % 4 == 0, "overwrite").otherwise("append").alias("operation"),
+        F.create_map(F.lit("added-records"), F.col("_rows").cast("string")).alias("summary"),
+    )

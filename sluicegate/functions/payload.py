@@ -56,7 +56,8 @@ def last_wins(entries: Column) -> Column:
         return ~F.array_contains(F.slice(keys, index + 2, F.size(keys)), entry["key"])
 
     unique = F.map_from_entries(F.filter(F.map_entries(entries), not_repeated_later))
-    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), unique).otherwise(entries)
+    repeats = (F.size(entries) > 1) & (F.size(F.array_distinct(keys)) < F.size(keys))
+    return F.when(repeats, unique).otherwise(entries)
 
 
 def collect_ext_json(entries: Column) -> Column:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluicegate.constants import EVENT_TIME_FORMAT, EVENT_TIME_LENGTH
+from sluicegate.constants import EVENT_TIME_LENGTH, EVENT_TIME_PATTERN
 
 
 def parse_event_time(text: Column) -> Column:
@@ -16,7 +16,7 @@ def parse_event_time(text: Column) -> Column:
     Days a month does not have and 24:00:00 are refused.
     """
     cut = F.substring(F.replace(text, F.lit("T"), F.lit(" ")), 1, EVENT_TIME_LENGTH)
-    return F.try_to_timestamp(cut, F.lit(EVENT_TIME_FORMAT))
+    return F.when(cut.rlike(EVENT_TIME_PATTERN), cut.try_cast("timestamp"))
 
 
 def as_instant(value: str | dt.datetime | Column | None) -> Column:

@@ -31,6 +31,21 @@ def verdict_columns(why: Column) -> list[Column]:
     ]
 
 
+def parse_once(logs: DataFrame, raw: str) -> DataFrame:
+    """Add the parsed objects, the first one's fields and its event time.
+
+    A filter on the verdict would be pushed down to the scan and the parse copied into it once
+    per use. Filters do not move below an explode, so exploding a single-element array keeps
+    the parse in one place; the row count does not change.
+    """
+    elements = logs.select("*", parse_elements(F.col(raw), known_fields_ddl()).alias("_elements"))
+    fields = elements.select("*", F.get("_elements", F.lit(0)).alias("_fields"))
+    parsed = F.struct("_elements", "_fields", parse_event_time(F.col("_fields.event_time")).alias("_event_time"))
+    return fields.select(*logs.columns, F.explode_outer(F.array(parsed)).alias("_parsed")).select(
+        *logs.columns, "_parsed.*"
+    )
+
+
 def clean_events(
     logs: DataFrame,
     as_of: str | dt.datetime | Column | None = None,
@@ -41,19 +56,14 @@ def clean_events(
     """Tag every raw row CLEAN or DIRTY and project the event columns.
 
     The raw text and all other input columns are kept. ``as_of`` is the clock for the
-    future check; leave it out in streams. Each step is its own projection so that the
-    parse runs once per row; columns nobody reads downstream are not parsed at all.
+    future check; leave it out in streams. Unknown keys are only collected where
+    ``ext_json`` is read downstream.
     """
     text = F.col(raw)
     carried = [F.col(name) for name in logs.columns]
-    parsed = logs.select(
-        *carried,
-        parse_elements(text, known_fields_ddl()).alias("_elements"),
-        unknown_entries(F.from_json(text, "map<string, variant>")).alias("_unknown"),
+    fields = parse_once(logs, raw).withColumn(
+        "_unknown", unknown_entries(F.from_json(text, "map<string, variant>"))
     )
-    fields = parsed.select(
-        *carried, "_elements", "_unknown", F.get("_elements", F.lit(0)).alias("_fields")
-    ).withColumn("_event_time", parse_event_time(F.col("_fields.event_time")))
     row, event_time = F.col("_fields"), F.col("_event_time")
     why = rules.first_broken(
         [
@@ -108,10 +118,7 @@ def clean_events_lenient(logs: DataFrame, raw: str = "raw") -> DataFrame:
     """
     text = F.col(raw)
     carried = [F.col(name) for name in logs.columns if name != raw]
-    elements = logs.select(*carried, text, parse_elements(text, known_fields_ddl()).alias("_elements"))
-    fields = elements.select(
-        *carried, text, "_elements", F.get("_elements", F.lit(0)).alias("_fields")
-    ).withColumn("_event_time", parse_event_time(F.col("_fields.event_time")))
+    fields = parse_once(logs, raw)
     row, event_time = F.col("_fields"), F.col("_event_time")
     present = F.lit(True)
     for name in ("user_id", "event_type"):

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from sluicegate.constants import DEDUP_KEY, DEDUP_TTL_MS
 
 
-def dedup_first_seen(events: DataFrame, arrival: str = "arrival", key: tuple[str, ...] = DEDUP_KEY) -> DataFrame:
-    """Keep the first arrival of every key.
+def dedup_first_seen(
+    events: DataFrame, arrival: str | tuple[str, ...] = "arrival", key: tuple[str, ...] = DEDUP_KEY
+) -> DataFrame:
+    """Keep the first arrival of every key; ``arrival`` may be several columns, as in time, partition, offset.
 
     The rank limit is applied before the shuffle as well (``WindowGroupLimit``), so a key
     repeated a billion times leaves each map task as one row.
     """
-    first = F.row_number().over(Window.partitionBy(*key).orderBy(arrival))
+    order = (arrival,) if isinstance(arrival, str) else arrival
+    first = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     return events.withColumn("_nth", first).where(F.col("_nth") == 1).drop("_nth")
 
 

@@ -51,11 +51,11 @@ def prior_max(
     rows, whatever the data looks like), and the maxima of the segments, and of groups of
     segments, are carried forward. The last level has one row per ``segment * group`` numbers.
     """
-    rows = rows.withColumn("_segment", F.floor(F.col(order) / segment))
+    rows = rows.withColumn("_segment", F.call_function("div", F.col(order), F.lit(segment)))
     segments = (
         rows.groupBy("_segment")
         .agg(F.max(value).alias("_segment_max"))
-        .withColumn("_group", F.floor(F.col("_segment") / group))
+        .withColumn("_group", F.call_function("div", F.col("_segment"), F.lit(group)))
     )
     groups = segments.groupBy("_group").agg(F.max("_segment_max").alias("_group_max"))
     earlier_groups = groups.select("_group", F.max("_group_max").over(_before([], "_group")).alias("_earlier_groups"))

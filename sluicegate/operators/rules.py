@@ -19,14 +19,15 @@ def _no_detail() -> Column:
 
 def rule_parse_error(raw: Column, elements: Column, parsed: Column) -> list[Rule]:
     """Not exactly one JSON object; nothing at all, ``null`` and ``{}`` count as empty."""
-    nothing = is_blank(raw) | (strip(raw) == "null")
+    # Blank text reads as no element at all, the word null as one element that is null.
+    nothing = raw.isNull() | (F.size(elements) == 0) | ((F.size(elements) == 1) & parsed.isNull())
     # Only a row without any required field can be an empty object, so few rows are looked at twice.
     no_keys = F.when(
         parsed["user_id"].isNull() & parsed["event_type"].isNull() & parsed["event_time"].isNull(),
         F.size(F.json_object_keys(raw)) == 0,
     )
     return [
-        (nothing, C.PARSE_ERROR, F.lit("empty json")),
+        (F.coalesce(nothing, F.lit(False)), C.PARSE_ERROR, F.lit("empty json")),
         (~is_one_object(raw, elements), C.PARSE_ERROR, F.lit("not a JSON object")),
         (F.coalesce(no_keys, F.lit(False)), C.PARSE_ERROR, F.lit("empty json")),
     ]

@@ -228,8 +228,8 @@ def oracle_sql() -> dict[str, str]:
         "dedup_ttl": """
 WITH RECURSIVE e AS (SELECT event_type, date_trunc('millisecond', ts) AS seen, min(event_id) AS event_id FROM events GROUP BY ALL),
 nxt AS (
-  SELECT a.event_type, a.seen, b.seen AS next_seen FROM e a
-  ASOF LEFT JOIN e b ON a.event_type = b.event_type AND a.seen + INTERVAL 1 HOUR <= b.seen
+  SELECT *, min(seen) OVER (PARTITION BY event_type ORDER BY seen
+    RANGE BETWEEN INTERVAL 1 HOUR FOLLOWING AND UNBOUNDED FOLLOWING) AS next_seen FROM e
 ),
 chain AS (
   SELECT event_type, min(seen) AS seen FROM e GROUP BY event_type

@@ -111,7 +111,7 @@ def on_time_stream(
     order = ", ".join(f"{name} {kind}" for name, kind in (arrival or {"arrival": "bigint"}).items())
     schema = T.StructType([*T.StructType.fromDDL(order).fields, *nullable(EVENT).fields])
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/on_time/batch_id=-1")
-    reader = spark.readStream.schema(schema.add("batch_id", "bigint")).option("ignoreMissingFiles", "true")
+    reader = spark.readStream.schema(schema.add("batch_id", T.LongType())).option("ignoreMissingFiles", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(f"{root}/on_time")

@@ -130,7 +130,7 @@ state AS (SELECT * FROM newest WHERE age = 1 AND op_type <> 'D')
 _FILES = """
 WITH files AS (
   SELECT CAST(ts AS DATE) AS dt, 'part-' || lpad(CAST(user_id % 50 AS VARCHAR), 2, '0') AS name,
-    CAST(sum(event_id % 997 + 1) * 4096 AS BIGINT) AS file_size_in_bytes
+    CAST(sum(event_id % 997 + 1) * 400 AS BIGINT) AS file_size_in_bytes
   FROM events GROUP BY ALL
 ),
 listed AS (
@@ -300,8 +300,8 @@ SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS total_files, ROUND(sum(file_size_i
 SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt, count(*) AS rows, count(DISTINCT user_id) AS users,
   count(DISTINCT device_id) AS devices FROM clean GROUP BY 1 ORDER BY 1 DESC LIMIT 30""",
         "plan_compaction": _FILES + """
-, packed AS (SELECT *, CAST((sum(file_size_in_bytes) OVER (PARTITION BY dt ORDER BY file_path) - 1) // 8388608 AS BIGINT) AS bin_id
-  FROM listed WHERE file_size_in_bytes < 8388608)
+, packed AS (SELECT *, CAST((sum(file_size_in_bytes) OVER (PARTITION BY dt ORDER BY file_path) - 1) // 134217728 AS BIGINT) AS bin_id
+  FROM listed WHERE file_size_in_bytes < 134217728)
 SELECT CAST(dt AS VARCHAR) AS dt, bin_id, count(*) AS input_files, CAST(sum(file_size_in_bytes) AS BIGINT) AS input_bytes
 FROM packed GROUP BY ALL HAVING count(*) >= 5""",
         "expire_snapshots": _SNAPSHOTS + """

@@ -297,7 +297,7 @@ def files_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plan_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = upkeep.plan_compaction(fixtures.file_listing(_events(spark, sf_dir)), 8 * 1024 * 1024, rewrite_all=False)
+    plan = upkeep.plan_compaction(fixtures.file_listing(_events(spark, sf_dir)), 128 * 1024 * 1024)
     return _plain(upkeep.compaction_groups(plan).drop("slice"))
 
 

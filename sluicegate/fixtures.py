@@ -117,7 +117,7 @@ def file_listing(events: DataFrame) -> DataFrame:
     """A file listing: one file per day and 50th of the users, its size from the rows it would hold."""
     name = F.concat(F.lit("part-"), F.lpad((F.col("user_id") % 50).cast("string"), 2, "0"))
     files = events.groupBy(F.to_date("ts").alias("dt"), name.alias("_name")).agg(
-        (F.sum(_id() % 997 + 1) * 4096).alias("file_size_in_bytes")
+        (F.sum(_id() % 997 + 1) * 400).alias("file_size_in_bytes")
     )
     number = F.substring("_name", 6, 2).cast("int")
     return files.select(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.constants import REPORT_SNAPSHOTS
+from sluicegate.constants import DEDUP_KEY, REPORT_SNAPSHOTS
 from sluicegate.operators.cdc import latest_per_key
 from sluicegate.schema import LAKE, nullable
 
@@ -71,10 +71,13 @@ def read_stored(spark: SparkSession, root: str, live: DataFrame | None = None) -
 
 
 def read_lake(spark: SparkSession, root: str, resolve: bool = True, keep_tombstones: bool = False) -> DataFrame:
-    """The lake table. ``resolve`` picks the newest change per key, needed where changes were appended."""
+    """The lake table. ``resolve`` picks the newest change per key, needed where changes were appended.
+
+    The day follows from the key; naming it lets a filter on ``dt`` reach the scan.
+    """
     rows = read_stored(spark, root).drop("commit_id")
     if resolve:
-        rows = latest_per_key(rows, arrival="etl_time")
+        rows = latest_per_key(rows, arrival="etl_time", key=("dt", *DEDUP_KEY))
     return rows if keep_tombstones else rows.where(F.coalesce(F.col("op_type"), F.lit("I")) != "D")
 
 

@@ -19,7 +19,7 @@ from sluicegate.sinks import jdbc, tables
 from sluicegate.sinks import lake as lake_sink
 from sluicegate.sources import lake as lake_source
 from sluicegate.sources.logs import read_raw_files, without_empty
-from sluicegate.sources.tables import filter_partition, read_ods_table
+from sluicegate.sources.tables import filter_partition, read_ods_table, spread, stage
 from sluicegate.streaming import changes as change_stream
 from sluicegate.streaming import stages
 
@@ -38,7 +38,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _late_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = clean.clean_events(fixtures.late_logs(_events(spark, sf_dir)), AS_OF)
-    return clean.clean_rows(tagged, ("arrival", "batch_id", "etl_time"))
+    return stage(clean.clean_rows(tagged, ("arrival", "batch_id", "etl_time")), "clean")
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _main_and_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    routed = _routed(spark, sf_dir)
+    routed = stage(_routed(spark, sf_dir), "routed")
     return dedup.dedup_first_seen(late.on_time_rows(routed)), late.late_rows(routed)
 
 
@@ -125,7 +125,7 @@ def _lake_of_changes(spark: SparkSession, sf_dir: str, rewrite: bool) -> str:
     """All creates, then all second changes, then all third ones, as three commits."""
     root = work_dir(spark, "changes")
     apply = lake_sink.upsert_lake if rewrite else lake_sink.append_changes
-    changes = _changes(spark, sf_dir)
+    changes = stage(_changes(spark, sf_dir), "changes")
     for step in range(3):
         apply(spark, root, changes.where(F.col("arrival") % 3 == step), f"cdc-{step}", "arrival")
     return root
@@ -270,7 +270,7 @@ def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = _tagged(spark, sf_dir)
+    tagged = stage(_tagged(spark, sf_dir).drop("raw"), "tagged")
     routed = late.route_late_per_record(clean.clean_rows(tagged, ("arrival", "arrived_at")))
     return _plain(quality.quality_monitor(quality.quality_status(tagged, routed, "arrived_at")))
 

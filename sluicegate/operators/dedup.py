@@ -33,22 +33,42 @@ def dedup_ttl(
 ) -> DataFrame:
     """Keep a row unless the same key was kept less than ``ttl_ms`` before.
 
-    Only kept rows start a new period, so the choice is a chain along each key. Few keys need
-    it walked: repeats in the same millisecond fall away before the shuffle, and where the last
-    arrival of a key is less than one period after the first, the first one is all there is.
-    The rest is walked in order, batch by batch, holding one key and one number in memory.
+    Only kept rows start a new period, so the choice is a chain along each key. Most of it needs
+    no walking. Repeats in the same millisecond fall away before the shuffle. A row that follows
+    a pause of one period or more is always kept, so stretches between pauses are independent,
+    and of a stretch shorter than one period only the first row is kept. What is left, stretches
+    of steady repeats, is walked in order, batch by batch, holding one key and one number.
     """
-    at = F.unix_millis(arrived_at)
-    instants = dedup_first_seen(events.withColumn("_at", at), arrival, (*key, "_at"))
-    spans = instants.groupBy(*key).agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    instants = dedup_first_seen(
+        events.withColumn("_at", F.unix_millis(arrived_at)), arrival, (*key, "_at")
+    ).withColumn("_period", F.call_function("div", F.col("_at"), F.lit(ttl_ms)))
+    stretches = _stretches(instants, key, ttl_ms)
+    on = (*key, "_period")
+    same = [F.col(f"i.{name}").eqNullSafe(F.col(f"s.{name}")) for name in on]
+    placed = instants.alias("i").join(stretches.alias("s"), same).select("i.*", "_stretch", "_first", "_last")
     short = F.col("_last") - F.col("_first") < ttl_ms
-    same_key = [F.col(f"i.{name}").eqNullSafe(F.col(f"s.{name}")) for name in key]
-    spanned = instants.alias("i").join(spans.alias("s"), same_key).select("i.*", short.alias("_short"), "_first")
-    single = spanned.where(F.col("_short") & (F.col("_at") == F.col("_first")))
-    chained = spanned.where(~F.col("_short"))
-    ordered = chained.repartition(*key).sortWithinPartitions(*key, "_at")
-    walked = ordered.mapInArrow(_walk(key, ttl_ms), ordered.schema)
-    return single.unionByName(walked).drop("_at", "_first", "_short")
+    single = placed.where(short & (F.col("_at") == F.col("_first")))
+    long = placed.where(~short)
+    unit = (*key, "_stretch")
+    ordered = long.repartition(*unit).sortWithinPartitions(*unit, "_at")
+    walked = ordered.mapInArrow(_walk(unit, ttl_ms), ordered.schema)
+    return single.unionByName(walked).select(*events.columns)
+
+
+def _stretches(instants: DataFrame, key: tuple[str, ...], ttl_ms: int) -> DataFrame:
+    """For each key and period: the number of its stretch, and the stretch's first and last instant.
+
+    Works on one row per key and period of time, whatever the number of repeats. No pause of a
+    full period fits inside a period, so looking at their ends is exact.
+    """
+    periods = instants.groupBy(*key, "_period").agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    in_time = Window.partitionBy(*key).orderBy("_period")
+    pause = F.coalesce(F.col("_from") - F.lag("_to").over(in_time) >= ttl_ms, F.lit(False))
+    numbered = periods.withColumn("_pause", pause.cast("bigint")).withColumn("_stretch", F.sum("_pause").over(in_time))
+    whole = Window.partitionBy(*key, "_stretch")
+    return numbered.select(
+        *key, "_period", "_stretch", F.min("_from").over(whole).alias("_first"), F.max("_to").over(whole).alias("_last")
+    )
 
 
 def _walk(key: tuple[str, ...], ttl_ms: int):

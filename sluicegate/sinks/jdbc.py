@@ -68,13 +68,14 @@ def write_jdbc(
 ) -> None:
     """Stage rows, then run :func:`merge_statement` through ``execute`` (one transaction of the caller's driver).
 
-    ``connections`` bounds the sessions opened at a time; it does not change the result.
+    ``connections`` bounds the sessions opened at a time; rows are dealt out to that many tasks,
+    so what comes before keeps its own parallelism.
     """
     staging = f"{table}_stage"
     statement = merge_statement(table, staging, tuple(rows.columns), key)
     for attempt in range(retries + 1):
         try:
-            jdbc_writer(rows.coalesce(connections), options, staging).save()
+            jdbc_writer(rows.repartition(connections), options, staging).save()
             execute(statement)
             return
         except Exception:

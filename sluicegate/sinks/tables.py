@@ -8,9 +8,16 @@ from pyspark.sql import types as T
 from sluicegate.schema import LAKE, LATE, MAIN
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Write a micro-batch into its own folder; repeating the batch replaces the folder."""
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+def write_batch(
+    rows: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = (), rebalance: bool = True
+) -> None:
+    """Write a micro-batch into its own folder; repeating the batch replaces the folder.
+
+    ``rebalance`` gathers the rows of many tasks into files of a sensible size and splits what
+    is too big; leave it out for rows that have just been shuffled.
+    """
+    placed = rows.hint("rebalance", *partition_by) if rebalance else rows
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/batch_id={batch_id}")

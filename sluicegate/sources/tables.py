@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicegate.session import work_dir
+
 
 def read_ods_table(
     spark: SparkSession,
@@ -31,6 +33,28 @@ def read_ods_table(
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """Deal rows out to all cores when the table has fewer files than there are cores.
+
+    A small table in one file would otherwise be parsed by a single task. Bigger tables are
+    returned as they are; a shuffle would only cost there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, by) if len(df.inputFiles()) < cores else df
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that is used more than once to the shared folder and read it back.
+
+    Cuts the lineage: what follows reads only the columns it needs, and a lost executor costs
+    a re-read, not another parse.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def filter_partition(df: DataFrame, dt: str) -> DataFrame:
     """Restrict a dated table to one day; only that day's folder is listed and read."""
     return df.where(F.col("dt") == F.lit(dt).cast("date"))

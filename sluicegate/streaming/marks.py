@@ -26,4 +26,4 @@ def read_mark(spark: SparkSession, path: str, batch_id: int) -> tuple[bool, dt.d
 
 def write_mark(spark: SparkSession, path: str, batch_id: int, greatest: dt.datetime | None) -> None:
     mark = spark.range(1).select(F.lit(greatest).cast("timestamp").alias("greatest"))
-    write_batch(mark.coalesce(1), path, batch_id)
+    write_batch(mark.coalesce(1), path, batch_id, rebalance=False)

@@ -73,7 +73,8 @@ def route_batch(
             routed = late_diagnostics(clean.withColumn("watermark", bounded_watermark(mark, delay_ms)))
             write_dirty(dirty_records(tagged, order), f"{root}/dirty", batch_id)
             write_late(late_table_rows(late_rows(routed)), batch_id)
-            write_batch(dedup_first_seen(on_time_rows(routed), order).drop("watermark"), f"{root}/on_time", batch_id)
+            on_time = dedup_first_seen(on_time_rows(routed), order).drop("watermark")
+            write_batch(on_time, f"{root}/on_time", batch_id, rebalance=False)
             newest = clean.agg(F.max("event_time").alias("newest")).first()["newest"]
             known = [time for time in (greatest, newest) if time is not None]
             write_mark(spark, f"{root}/marks", batch_id, max(known, default=None))

@@ -199,8 +199,8 @@ def _stream_rounds(spark: SparkSession, sf_dir: str, rounds: int = 4) -> str:
     root = work_dir(spark, "stream")
     events = _events(spark, sf_dir)
     logs = fixtures.late_logs(events)
-    size = events.agg(F.max("event_id").alias("last")).select(F.expr(f"(last + {rounds}) div {rounds}").alias("size"))
-    numbered = logs.join(size).withColumn("_round", F.expr("batch_id div size")).select("arrival", "raw", "_round")
+    size = events.agg(F.expr(f"(max(event_id) + {rounds}) div {rounds}").alias("size")).first()["size"]
+    numbered = logs.select("arrival", "raw", F.call_function("div", "batch_id", F.lit(size)).alias("_round"))
     for number in range(rounds):
         part = numbered.where(F.col("_round") == number).drop("_round")
         part.coalesce(1).write.mode("append").parquet(f"{root}/input")

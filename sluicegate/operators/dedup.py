@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicegate.constants import DEDUP_KEY, DEDUP_TTL_MS
+from sluicegate.sources.tables import stage
 
 
 def dedup_first_seen(
@@ -33,30 +34,37 @@ def dedup_ttl(
 ) -> DataFrame:
     """Keep a row unless the same key was kept less than ``ttl_ms`` before.
 
-    Only kept rows start a new period, so the choice is a chain along each key. Most of it needs
-    no walking. Repeats in the same millisecond fall away before the shuffle. A row that follows
-    a pause of one period or more is always kept, so stretches between pauses are independent,
-    and of a stretch shorter than one period only the first row is kept. What is left, stretches
-    of steady repeats, is walked in order, batch by batch, holding one key and one number.
+    Only kept rows start a new period, so the choice is a chain along each key. Few keys need
+    it: where the last arrival comes less than one period after the first, the first row is all
+    that is kept. Of the others, repeats in the same millisecond fall away before the shuffle,
+    and since a row after a pause of one period is always kept, stretches between pauses are
+    independent. Stretches of steady repeats are walked in order, batch by batch, holding one
+    key and one number in memory.
     """
+    timed = events.withColumn("_at", F.unix_millis(arrived_at))
+    spans = timed.groupBy(*key).agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    # Written out first, so that joining with the usual handful of keys needs no shuffle of the events.
+    long_keys = stage(spans.where(F.col("_to") - F.col("_from") >= ttl_ms).select(*key), "long-keys")
+    order = ("_at", arrival)
+    short = dedup_first_seen(_join_on(timed, long_keys, key, "left_anti"), order, key)
     instants = dedup_first_seen(
-        events.withColumn("_at", F.unix_millis(arrived_at)), arrival, (*key, "_at")
+        _join_on(timed, long_keys, key, "left_semi"), arrival, (*key, "_at")
     ).withColumn("_period", F.call_function("div", F.col("_at"), F.lit(ttl_ms)))
-    stretches = _stretches(instants, key, ttl_ms)
-    on = (*key, "_period")
-    same = [F.col(f"i.{name}").eqNullSafe(F.col(f"s.{name}")) for name in on]
-    placed = instants.alias("i").join(stretches.alias("s"), same).select("i.*", "_stretch", "_first", "_last")
-    short = F.col("_last") - F.col("_first") < ttl_ms
-    single = placed.where(short & (F.col("_at") == F.col("_first")))
-    long = placed.where(~short)
+    placed = _join_on(instants, _stretches(instants, key, ttl_ms), (*key, "_period"), "inner", "_stretch")
     unit = (*key, "_stretch")
-    ordered = long.repartition(*unit).sortWithinPartitions(*unit, "_at")
+    ordered = placed.repartition(*unit).sortWithinPartitions(*unit, "_at")
     walked = ordered.mapInArrow(_walk(unit, ttl_ms), ordered.schema)
-    return single.unionByName(walked).select(*events.columns)
+    return short.select(*events.columns).unionByName(walked.select(*events.columns))
+
+
+def _join_on(left: DataFrame, right: DataFrame, columns: tuple[str, ...], how: str, *added: str) -> DataFrame:
+    """Join on columns where null equals null, keeping the left side's columns and those named."""
+    same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in columns]
+    return left.alias("l").join(right.alias("r"), same, how).select("l.*", *added)
 
 
 def _stretches(instants: DataFrame, key: tuple[str, ...], ttl_ms: int) -> DataFrame:
-    """For each key and period: the number of its stretch, and the stretch's first and last instant.
+    """For each key and period the number of its stretch.
 
     Works on one row per key and period of time, whatever the number of repeats. No pause of a
     full period fits inside a period, so looking at their ends is exact.
@@ -64,10 +72,8 @@ def _stretches(instants: DataFrame, key: tuple[str, ...], ttl_ms: int) -> DataFr
     periods = instants.groupBy(*key, "_period").agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
     in_time = Window.partitionBy(*key).orderBy("_period")
     pause = F.coalesce(F.col("_from") - F.lag("_to").over(in_time) >= ttl_ms, F.lit(False))
-    numbered = periods.withColumn("_pause", pause.cast("bigint")).withColumn("_stretch", F.sum("_pause").over(in_time))
-    whole = Window.partitionBy(*key, "_stretch")
-    return numbered.select(
-        *key, "_period", "_stretch", F.min("_from").over(whole).alias("_first"), F.max("_to").over(whole).alias("_last")
+    return periods.withColumn("_pause", pause.cast("bigint")).select(
+        *key, "_period", F.sum("_pause").over(in_time).alias("_stretch")
     )
 
 

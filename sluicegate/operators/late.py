@@ -67,7 +67,7 @@ def prior_max(
     )
     in_segment = F.max(value).over(_before(["_segment"], order))
     return (
-        rows.join(earlier, "_segment")
+        rows.join(earlier, "_segment", "left")
         .withColumn(result, F.greatest(in_segment, "_earlier"))
         .drop("_segment", "_earlier")
     )

@@ -74,12 +74,10 @@ def _percent(part: Column, whole: Column) -> Column:
 
 
 def late_rate(main: DataFrame, late: DataFrame) -> DataFrame:
-    """Late rows against rows in the main table; both sides of the join are single rows."""
-    main_count = main.agg(F.count(F.lit(1)).alias("main_cnt"))
-    late_count = late.agg(F.count(F.lit(1)).alias("late_cnt"))
-    return main_count.join(late_count).select(
-        "main_cnt", "late_cnt", _percent(F.col("late_cnt"), F.col("main_cnt")).alias("late_pct")
-    )
+    """Late rows against rows in the main table, counted in one pass over both."""
+    both = main.select(F.lit(False).alias("is_late")).union(late.select(F.lit(True)))
+    counts = both.agg(F.count_if(~F.col("is_late")).alias("main_cnt"), F.count_if("is_late").alias("late_cnt"))
+    return counts.select("main_cnt", "late_cnt", _percent(F.col("late_cnt"), F.col("main_cnt")).alias("late_pct"))
 
 
 def late_bucket(late_ms: Column) -> Column:

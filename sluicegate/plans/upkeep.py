@@ -147,7 +147,9 @@ def file_totals(files: DataFrame, suffix: str) -> DataFrame:
 def compaction_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """Files and megabytes before and after, and by how many percent the files went down."""
     kept = F.col("files_after") / F.nullif(F.col("files_before").cast("double"), F.lit(0.0))
-    return before.join(after).select(
+    both = before.unionByName(after, allowMissingColumns=True)
+    totals = both.agg(*(F.max(name).alias(name) for name in both.columns))
+    return totals.select(
         "files_before",
         F.floor(F.col("bytes_before") / _MB).alias("mb_before"),
         "files_after",
@@ -183,9 +185,13 @@ def expired_files(spark: SparkSession, root: str, as_of: Clock = None, older_tha
     return files.join(replaced, ["dt", "commit_id"], "left_semi")
 
 
-def find_orphan_files(files: DataFrame, commits: DataFrame) -> DataFrame:
-    """Data files in folders no commit speaks of, such as those of a write that never finished."""
-    return files.join(commits.select("dt", "commit_id").distinct(), ["dt", "commit_id"], "left_anti")
+def find_orphan_files(files: DataFrame, commits: DataFrame, older_than: Clock = None) -> DataFrame:
+    """Data files in folders no commit speaks of, such as those of a write that never finished.
+
+    Give ``older_than`` while writers are running: their files have no commit yet.
+    """
+    orphans = files.join(commits.select("dt", "commit_id").distinct(), ["dt", "commit_id"], "left_anti")
+    return orphans if older_than is None else orphans.where(F.col("modified_at") < as_instant(older_than))
 
 
 def delete_files(files: DataFrame) -> int:

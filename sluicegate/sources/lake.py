@@ -89,6 +89,7 @@ def lake_files(spark: SparkSession, path: str) -> DataFrame:
         F.col("dt").cast("date").alias("dt"),
         F.col("path").alias("file_path"),
         F.col("length").alias("file_size_in_bytes"),
+        F.col("modificationTime").alias("modified_at"),
         *extra,
     )
 

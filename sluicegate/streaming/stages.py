@@ -106,15 +106,24 @@ def start_cleaning(
 
 
 def on_time_stream(
-    spark: SparkSession, root: str, arrival: dict[str, str] | None = None, max_files: int | None = None
+    spark: SparkSession,
+    root: str,
+    arrival: dict[str, str] | None = None,
+    max_files: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """What the first stream appends, as a stream. A file replaced by a repeated batch may be missing by then."""
+    """What the first stream appends, as a stream. A file replaced by a repeated batch may be missing by then.
+
+    Files read are moved to ``archive`` where given, so that a long-running stream lists few folders.
+    """
     order = ", ".join(f"{name} {kind}" for name, kind in (arrival or {"arrival": "bigint"}).items())
     schema = T.StructType([*T.StructType.fromDDL(order).fields, *nullable(EVENT).fields])
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/on_time/batch_id=-1")
     reader = spark.readStream.schema(schema.add("batch_id", T.LongType())).option("ignoreMissingFiles", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.parquet(f"{root}/on_time")
 
 
@@ -131,11 +140,12 @@ def start_dedup(
     trigger: str | None = JDBC_BATCH_INTERVAL,
     keep_for: str = "1 hour",
     max_files: int | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Second stream: rows on time, once each, to the main table."""
     use_state_backend(spark)
     writer = write_main or parquet_writer(f"{root}/main")
-    unique = drop_repeats(on_time_stream(spark, root, arrival, max_files), keep_for)
+    unique = drop_repeats(on_time_stream(spark, root, arrival, max_files, archive), keep_for)
     return start(
         unique,
         f"{root}/checkpoints/dedup",

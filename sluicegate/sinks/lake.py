@@ -9,6 +9,7 @@ from sluicegate.constants import BLOOM_COLUMNS, DEDUP_KEY
 from sluicegate.operators.cdc import latest_per_key, to_lake_row
 from sluicegate.schema import LAKE_COLUMNS
 from sluicegate.sources import lake
+from sluicegate.sources.tables import stage
 
 #: Users are hashed into this many slices per day before files are written.
 USER_SLICES = 64
@@ -59,6 +60,12 @@ def commit(
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.partitionBy("dt", "commit_id").parquet(lake.data_path(root))
+    if replaced is not None:
+        # Written out, as Spark takes two listings of one folder in one plan to be the same.
+        replaced = stage(replaced, "replaced")
+        live = lake.live_commits(lake.read_commits(spark, root))
+        if not replaced.join(live, ["dt", "commit_id"], "left_anti").isEmpty():
+            raise RuntimeError(f"{commit_id}: another commit has rewritten the same days; start again from its result")
     log = _commit_rows(spark, root, commit_id, operation, replaced)
     log.coalesce(1).write.mode("overwrite").parquet(f"{lake.commits_path(root)}/commit_id={commit_id}")
     return True

@@ -69,6 +69,16 @@ def test_write_that_failed_before_its_commit(spark, root, monkeypatch):
     assert upkeep.find_orphan_files(lake.lake_files(spark, lake.data_path(root)), lake.read_commits(spark, root)).isEmpty()
 
 
+def test_second_rewrite_of_the_same_day_is_refused(spark, root):
+    sink.upsert_lake(spark, root, changes(spark, change("a", page="1")), "x-0", "arrival")
+    seen = lake.live_commits(lake.read_commits(spark, root))
+    rows = lake.read_stored(spark, root, seen).drop("commit_id")
+    sink.upsert_lake(spark, root, changes(spark, change("a", "U", 5, "2")), "x-1", "arrival")
+    with pytest.raises(RuntimeError, match="rewritten the same days"):
+        sink.commit(spark, root, rows, "compact-0", "replace", seen)
+    assert pages(spark, root) == {("a", 11): "2"}
+
+
 def test_compaction_keeps_rows_and_reduces_files(spark, root):
     for number in range(6):
         rows = [change(f"u{number}-{i}", page=str(i), day=i % 2, arrival=i) for i in range(40)]

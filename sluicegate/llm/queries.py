@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import exact_dedup
+from sluicegate.llm import decontaminate, exact_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {

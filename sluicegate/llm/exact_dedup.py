@@ -1,9 +1,10 @@
 """Exact de-duplication by sorting whole texts.
 
-Spark samples splitters of the normalised texts and deals the rows out by range; each task sorts
-its range externally, which puts equal texts next to each other, and the window over the text
-compares each text with its neighbour in full. Range partitioning already keeps equal texts
-together, so the window needs no second shuffle. Only DataFrame functions are used.
+Spark samples splitters of the normalised texts (their first characters, then a hash) and deals
+the rows out by range; each task sorts its range externally, which puts equal texts next to each
+other, and the window over the text compares each text with its neighbour in full. Range
+partitioning already keeps equal texts together, so the window needs no second shuffle. Only
+DataFrame functions are used.
 
 A text that makes up more than ``1 / parts`` of all rows (so there are fewer than ``parts`` such
 texts) is dealt out over ``parts`` salts, and the few runs that result are combined afterwards.
@@ -22,6 +23,8 @@ from sluicegate.llm.common import lower_ascii, staged, table, text_of
 
 #: A text with more than one in so many rows is split; also the number of its salts.
 PARTS = 200
+#: Characters of a text that the sampled splitters hold; texts alike so far are placed by a hash.
+PREFIX = 16
 
 
 def content_sort_dedup(
@@ -50,8 +53,10 @@ def content_sort_dedup(
             F.when(F.col("_hot"), F.pmod(F.xxhash64(F.lit("salt"), F.col("_id")), F.lit(parts)) + 1).otherwise(F.lit(0)).alias("_salt"),
         )
     )
-    run = Window.partitionBy("_text", "_salt")
-    sorted_rows = salted.repartitionByRange(_partitions(spark), "_text", "_salt").select(
+    # Splitters are sampled from the first characters and a hash: whole texts would flood the driver.
+    place = [F.substring("_text", 1, PREFIX).alias("_prefix"), F.xxhash64("_text").alias("_hash")]
+    run = Window.partitionBy("_prefix", "_hash", "_salt", "_text")
+    sorted_rows = salted.select("*", *place).repartitionByRange(_partitions(spark), "_prefix", "_hash", "_salt").select(
         "_id",
         "_salt",
         F.sha2(F.col("_text"), 256).alias("text_sha256"),

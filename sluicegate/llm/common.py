@@ -35,13 +35,19 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def staged(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back, so that nothing is worked out twice."""
-    path = work_dir(spark, name)
+    path = path or work_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def with_start(counts: DataFrame, group: list[str], order: str, size: str, start: str, block: int = 4096) -> DataFrame:
     """Add the sum of ``size`` over smaller ``order`` (an integer) of the same group.
 

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import decontaminate, exact_dedup
+from sluicegate.llm import binary_output, decontaminate, exact_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": packing.op4_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_binary_output": binary_output.op10_binary_output,
 }
 
 ORACLE_SQL: dict[str, str] = {

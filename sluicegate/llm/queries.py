@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import binary_output, decontaminate, exact_dedup, packing
+from sluicegate.llm import binary_output, decontaminate, exact_dedup, packing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": secrets.op1_secret_scan,
     "op4_packing": packing.op4_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,

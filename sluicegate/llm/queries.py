@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import binary_output, decontaminate, exact_dedup, packing, quality, secrets
+from sluicegate.llm import binary_output, decontaminate, exact_dedup, packing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_quality_classifier": quality.op2_quality_classifier,
     "op4_packing": packing.op4_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_pii": pii.op7_pii,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_binary_output": binary_output.op10_binary_output,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import binary_output, decontaminate, exact_dedup, packing, pii, quality, secrets
+from sluicegate.llm import binary_output, decontaminate, exact_dedup, near_dedup, packing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": packing.op4_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_pii": pii.op7_pii,
+    "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_binary_output": binary_output.op10_binary_output,
 }

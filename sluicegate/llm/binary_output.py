@@ -14,7 +14,7 @@ A document's control bytes are ceil(tokens / 4); spare places in the last one ar
 ``ranks.bin`` holds the id of each rank as little-endian unsigned 32-bit integers.
 
 Nulls: a null text counts as empty (its end id is still written); null identifiers come first. Rows with
-equal identifiers are all written, in the order of their ids' checksums, lengths and order of arrival. An empty table
+equal identifiers are all written, in the order of their ids' checksums. An empty table
 gives no shard and no rows. Extra columns are left out and may have any names.
 """
 
@@ -156,21 +156,6 @@ def write_shards(
     _put(folder, "ranks.bin", by_rank.astype("<u4").tobytes())
     shared = spark.sparkContext.broadcast(rank_of)  # one number per id of the vocabulary
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Code each document before it is shuffled: coded ids are smaller."""
-        for batch in batches:
-            controls, datas, counts = [], [], []
-            for raw in batch.column("tokens").to_pylist():
-                ids = np.frombuffer(raw, "<u2")
-                control, data = encode_values(shared.value[ids])
-                controls.append(control)
-                datas.append(data)
-                counts.append(len(ids))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_crc"), pa.array(counts, pa.int64()), pa.array(controls, pa.binary()), pa.array(datas, pa.binary())],
-                ["_id", "_crc", "n", "control", "data"],
-            )
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard, held = TaskContext.get().partitionId(), 0, ([], [], [], [])
 
@@ -183,19 +168,19 @@ def write_shards(
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], ["shard", "name", "tokens"])
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("_id", "n", "control", "data"))):
-                for column, value in zip(held, row):
+            for name, raw in zip(batch.column("_id").to_pylist(), batch.column("tokens").to_pylist()):
+                ids = np.frombuffer(raw, "<u2")
+                for column, value in zip(held, (name, len(ids), *encode_values(shared.value[ids]))):
                     column.append(value)
-                if len(held[0]) % 64 == 0 and sum(held[1]) >= shard_tokens or row[1] >= shard_tokens:
+                if len(held[0]) % 64 == 0 and sum(held[1]) >= shard_tokens or len(ids) >= shard_tokens:
                     yield flush()
         if held[0]:
             yield flush()
 
-    kind = tokens.schema["_id"].dataType.simpleString()
-    coded = tokens.mapInArrow(code, f"_id {kind}, _crc bigint, n bigint, control binary, data binary")
-    order = ["_id", "_crc", "n"]
-    ordered = coded.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
-    shards = staged(spark, ordered.drop("_crc").mapInArrow(write, "shard bigint, name string, tokens bigint"), "shards")
+    # sampling the splitters reads the staged table; coding comes after the shuffle so that it runs once
+    order = ["_id", "_crc"]
+    ordered = tokens.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    shards = staged(spark, ordered.select("_id", "tokens").mapInArrow(write, "shard bigint, name string, tokens bigint"), "shards")
     discard(spark, path)
     return shards
 

@@ -19,7 +19,7 @@ _SEPARATORS = re.compile(r"[\x1c-\x1f]")  # str.split takes them for white space
 _WITH_BLANK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _WITHOUT = re.compile(f"[^{_SPACE}]+")
 #: Pieces that one worker remembers, and the longest of them.
-REMEMBERED = 700_000
+REMEMBERED = 1_100_000
 _LONGEST = 48
 END_ID = 2
 _END = array("I", [END_ID]).tobytes()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicegate.llm import binary_output, decontaminate, exact_dedup, near_dedup, packing, pii, quality, secrets
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_binary_output": binary_output.op10_binary_output,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {

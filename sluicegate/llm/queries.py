@@ -7,12 +7,13 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import binary_output, decontaminate, exact_dedup, near_dedup, packing, pii, quality, secrets
+from sluicegate.llm import binary_output, chat, decontaminate, exact_dedup, near_dedup, packing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_quality_classifier": quality.op2_quality_classifier,
     "op4_packing": packing.op4_packing,
+    "op5_chat_formatting": chat.op5_chat_formatting,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_pii": pii.op7_pii,
     "op8_near_dedup": near_dedup.op8_near_dedup,
@@ -22,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_chat_formatting": chat.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
 }

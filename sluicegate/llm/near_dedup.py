@@ -9,10 +9,10 @@ A component keeps the time of its first point. Two documents agree in a componen
 their weighted Jaccard similarity, sum of least over sum of greatest weights. Processes are followed only as
 long as they can still come first somewhere.
 
-Documents with equal multisets are one node. Nodes that agree in a band share a bucket; there each is compared with a
-few pivots chosen by hash, so that a bucket of any size costs in proportion to it. Nodes of one bucket that these
-links leave in different components are then compared with all others of the bucket outside their component:
-nothing is lost to the shortcut. Every link is checked on the multisets; a group is a component of the links.
+Documents with equal multisets are one node. Nodes that agree in a band share a bucket; there each is compared with
+two pivots, the node that meets most others and one chosen by hash, which links most of a bucket at a cost in proportion to its
+size. Nodes of one bucket that these links leave outside its commonest component are then compared with all
+others of the bucket, block by block: nothing is lost to the shortcut. Every link is checked on the multisets; a group is a component of the links.
 
 Nulls: a null text is empty; identifiers may be null and repeat. Documents without words are equal when their texts
 are. Repeated rows each give a row with the same class. An empty table gives no rows. Extra columns are left out and
@@ -35,8 +35,8 @@ from sluicegate.llm.links import components
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
-#: Members of a bucket that all others are compared with.
-PIVOTS = 2
+#: Nodes in a block, about.
+BLOCK = 128
 _SLICE = 1 << 20
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -252,31 +252,26 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         "near-nodes",
     )
     filed = nodes.select("key", "size", F.posexplode("bands").alias("band", "hash"))
-    pivot = [F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "size")).alias(f"p{k}") for k in range(PIVOTS)]
-    shared = filed.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("_n"), *pivot).filter("_n > 1").drop("_n")
+    shared = filed.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = staged(spark, filed.join(shared, ["band", "hash"]), "near-buckets")
+    # who meets most others is most likely to be what they were copied from
+    met = members.groupBy("key").agg(F.sum("n").alias("met"))
+    pivots = (
+        members.join(met, "key")
+        .groupBy("band", "hash")
+        .agg(F.max(F.struct("met", "key", "size")).alias("hub"), F.max(F.struct(F.xxhash64("key").alias("met"), "key", "size")).alias("other"))
+    )
     close = lambda m, n: (m * similarity <= n) & (n * similarity <= m)  # noqa: E731  no pair beyond can be alike enough
     first = _pairs(
-        members.select(F.col("key").alias("a"), "size", F.explode(F.array(*(F.struct(F.col(f"p{k}.key").alias("key"), F.col(f"p{k}.size").alias("size")) for k in range(PIVOTS)))).alias("p"))
+        members.join(pivots, ["band", "hash"])
+        .select(F.col("key").alias("a"), "size", F.explode(F.array("hub", "other")).alias("p"))
         .filter(close(F.col("size"), F.col("p.size")))
         .select("a", F.col("p.key").alias("b"))
     )
     wanted = members.select("key").distinct().join(nodes.select("key", "rep"), "key")
     bodies = staged(spark, multisets(docs, wanted, text, id_col), "near-bodies")
-    found = staged(spark, verified(first, bodies, similarity), "near-found")
-    roots = components(found)
-    # buckets whose members are still apart: those outside the bucket's commonest component against all others
-    placed = members.select("band", "hash", "key", "size").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    kinds = placed.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = kinds.groupBy("band", "hash").agg(F.max(F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1")
-    mixed = staged(spark, placed.join(main.select("band", "hash", F.col("main.root").alias("main")), ["band", "hash"]), "near-mixed")
-    rest = mixed.filter("root != main").select("band", "hash", F.col("key").alias("a"), F.col("size").alias("_size"), F.col("root").alias("_root"))
-    later = _pairs(
-        rest.join(mixed, ["band", "hash"])
-        .filter((F.col("root") != F.col("_root")) & close(F.col("size"), F.col("_size")))
-        .select("a", F.col("key").alias("b"))
-    ).join(first, ["a", "b"], "left_anti")
-    more = staged(spark, verified(later, bodies, similarity), "near-found")
+    roots = components(verified(first, bodies, similarity))
+    more = staged(spark, _between_blocks(members, roots, bodies, similarity), "near-more")
     if more.take(1):
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     groups = nodes.select("key", "rep", "n").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -285,6 +280,77 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     return sketched.select("_id", "key").join(named, "key").select(F.col("_id").alias(id_col), "class_id", "class_size")
 
 
+def _between_blocks(members: DataFrame, roots: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join different components inside a bucket.
+
+    Nodes outside a bucket's commonest component meet all nodes of the bucket. Both are collected in blocks of about ``BLOCK``
+    nodes, so a row stands for a pair of blocks, and a pair of blocks gives fewer links than it has nodes.
+    """
+    spark = members.sparkSession
+    placed = members.select("band", "hash", "key", "n").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    kinds = placed.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("_own"))
+    main = kinds.groupBy("band", "hash").agg(F.max(F.struct("_own", "root")).alias("_main"), F.count(F.lit(1)).alias("_kinds")).filter("_kinds > 1")
+    mixed = placed.join(main.select("band", "hash", F.col("_main.root").alias("main")), ["band", "hash"]).join(bodies, "key")
+    block = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    one = F.struct("key", "root", "body")
+    apart = ["band", "hash"]
+    whole = staged(spark, mixed.select(*apart, "root", "main", "key", "body", block), "near-mixed")
+    left = whole.filter("root != main").groupBy(*apart, "block").agg(F.collect_list(one).alias("x")).drop("block")
+    right = whole.groupBy(*apart, "block").agg(F.collect_list(one).alias("y")).drop("block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = block_links(batch.column("x")[i].as_py(), batch.column("y")[i].as_py(), similarity)
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    return left.join(right, apart).select("x", "y").mapInArrow(run, "a binary, b binary").distinct()
+
+
+def block_links(x: list[dict], y: list[dict], similarity: float) -> list[tuple[bytes, bytes]]:
+    """Links between nodes of two blocks, as many as it takes to join the components that they join."""
+    rows = [np.frombuffer(d["body"], "<u4") for d in (*x, *y)]
+    sizes = np.array([len(r) for r in rows])
+    if not sizes.sum():
+        return []
+    value = np.concatenate(rows)
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    order = np.lexsort((value, owner))
+    value, owner = value[order], owner[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+    place = np.maximum.accumulate(np.where(new, np.arange(len(value)), 0))
+    # the k-th occurrence of a shingle is an element of its own, so that common elements are least weights
+    element = value.astype(np.uint64) << np.uint64(32) | (np.arange(len(value)) - place).astype(np.uint64)
+    _, element = np.unique(element, return_inverse=True)
+    both = np.zeros((len(x), len(y)), np.float32)
+    at_x, at_y = np.flatnonzero(owner < len(x)), np.flatnonzero(owner >= len(x))
+    for a in range(0, int(element.max()) + 1, 4096):
+        p = at_x[(element[at_x] >= a) & (element[at_x] < a + 4096)]
+        q = at_y[(element[at_y] >= a) & (element[at_y] < a + 4096)]
+        if len(p) and len(q):
+            left, right = np.zeros((len(x), 4096), np.float32), np.zeros((len(y), 4096), np.float32)
+            left[owner[p], element[p] - a] = 1
+            right[owner[q] - len(x), element[q] - a] = 1
+            both += left @ right.T
+    union = sizes[: len(x), None] + sizes[None, len(x) :] - both
+    parent: dict[bytes, bytes] = {}
+
+    def top(node: bytes) -> bytes:
+        while parent.setdefault(node, node) != node:
+            node = parent[node]
+        return node
+
+    out = []
+    alike = np.divide(both, union, out=np.zeros(both.shape), where=union > 0) >= similarity
+    for i, j in zip(*np.nonzero(alike)):
+        a, b = top(x[i]["root"]), top(y[j]["root"])
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((x[i]["key"], y[j]["key"]))
+    return out
+
+
 def _pairs(pairs: DataFrame) -> DataFrame:
     """Each pair once."""
     return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import slices, staged, table
+from sluicegate.llm.hashing import BASE, mix, word_hashes
 from sluicegate.llm.links import components
 
 SHINGLE = 5
@@ -38,47 +39,11 @@ BANDS, ROWS = 24, 5
 #: Nodes in a block, about.
 BLOCK = 128
 _SLICE = 1 << 20
-_FOLD = np.array([c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A good hash of 64-bit integers."""
-    x = x.copy()
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base))
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_inverse = pow(int(_BASE), -1, 1 << 64)
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, hash, occurrences) of each different shingle, by document, then hash."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    begins = np.cumsum([0] + [len(r) + 1 for r in raw])
-    data = _FOLD[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
-    inside = data != 32
-    edges = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    size = 1 << max(16, int(len(data)).bit_length())
-    if size not in _tables:
-        _tables.clear()
-        _tables[size] = (_powers(int(_BASE), size), _powers(_inverse, size))
-    powers, inverses = _tables[size]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], dtype=np.uint64)))
-    word = _mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
-    owner = np.searchsorted(begins, starts, side="right") - 1
+    word, owner = word_hashes(texts)
     counts = np.bincount(owner, minlength=len(texts))
     first = np.cumsum(counts) - counts
     whole = np.arange(len(word)) - first[owner] <= counts[owner] - SHINGLE
@@ -89,7 +54,7 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     for k in range(SHINGLE):
         there = k < length
         nxt = word[np.minimum(at + k, len(word) - 1)] if len(word) else word
-        value = np.where(there, _mix(value * _BASE + nxt), value)
+        value = np.where(there, mix(value * BASE + nxt), value)
     order = np.lexsort((value, owner[at]))
     doc, value = owner[at][order], value[order]
     new = np.ones(len(doc), bool)
@@ -106,7 +71,7 @@ def signatures(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int
     owner, reach = doc[element], weight[element]
     low = np.where(strip == 0, 0, 2.0 ** (strip - 1))
     width = np.where(strip == 0, 1.0, low)
-    seed = _mix(value[element] + strip.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+    seed = mix(value[element] + strip.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
     total = np.bincount(doc, weight, docs)
     limit = (np.log(size) + 4) * size / np.maximum(total, 1)
     time, number = np.zeros(len(seed)), np.zeros(len(seed), np.uint64)
@@ -118,11 +83,11 @@ def signatures(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int
         which = np.repeat(active, count)
         start = np.cumsum(count) - count
         step = np.arange(len(which)) - np.repeat(start, count)
-        bits = _mix(seed[which] + (number[which] + step.astype(np.uint64) + np.uint64(1)) * _BASE)
+        bits = mix(seed[which] + (number[which] + step.astype(np.uint64) + np.uint64(1)) * BASE)
         gap = -np.log1p(-((bits >> np.uint64(11)).astype(np.float64) * 2.0**-53)) / width[which]
         # added one by one: equal points need equal times in every document, whatever else is at hand
         when = time[active] + gap if len(which) == len(active) else _added(time[active], gap, start, count)
-        other = _mix(bits + np.uint64(0xA0761D6478BD642F))
+        other = mix(bits + np.uint64(0xA0761D6478BD642F))
         level = low[which] + width[which] * ((other >> np.uint64(32)).astype(np.float64) * 2.0**-32)
         valid = np.flatnonzero((level < reach[which]) & (when <= limit[owner[which]]))
         component = ((other & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
@@ -157,7 +122,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
     bits = signature.view(np.uint64).reshape(len(signature), BANDS, ROWS)
     out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), bits.shape[:2]).copy()
     for k in range(ROWS):
-        out = _mix(out * _BASE + bits[:, :, k])
+        out = mix(out * BASE + bits[:, :, k])
     return out.view(np.int64)
 
 

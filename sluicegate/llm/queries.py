@@ -7,11 +7,12 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import binary_output, chat, decontaminate, exact_dedup, near_dedup, packing, pii, quality, secrets
+from sluicegate.llm import binary_output, chat, decontaminate, exact_dedup, lm_score, near_dedup, packing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_quality_classifier": quality.op2_quality_classifier,
+    "op3_lm_score": lm_score.op3_lm_score,
     "op4_packing": packing.op4_packing,
     "op5_chat_formatting": chat.op5_chat_formatting,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,

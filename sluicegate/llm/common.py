@@ -42,6 +42,15 @@ def staged(spark: SparkSession, df: DataFrame, name: str, path: str | None = Non
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sampled(rows: DataFrame, order: str, most: int) -> DataFrame:
+    """At most ``most`` rows, those with the smallest different values of ``order``, a hash.
+
+    Only the hashes are sorted; the rows are then picked out by a table of at most ``most`` numbers.
+    """
+    picked = rows.select(order).distinct().orderBy(order).limit(most)
+    return rows.join(F.broadcast(picked), order, "left_semi").dropDuplicates([order])
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

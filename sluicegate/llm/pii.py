@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import slices, table
+from sluicegate.llm.common import sampled, slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # rank of the kind, start, end
@@ -260,7 +260,7 @@ def training_zones(docs: DataFrame, text: str, id_col: str, most: int) -> list[t
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string())], ["place", "piece"])
 
     rows = docs.select(F.xxhash64(F.col(id_col)).alias("_order"), F.col(text).cast("string").alias("_text"))
-    some = rows.filter(F.col("_text").rlike("[0-9@]")).orderBy("_order", "_text").limit(4 * most)
+    some = sampled(rows.filter(F.col("_text").rlike("[0-9@]")), "_order", 4 * most)
     picked = some.select("_text").mapInArrow(cut, "place bigint, piece string").distinct().orderBy("place", "piece").limit(most)
     examples = []
     for k, row in enumerate(picked.collect()):

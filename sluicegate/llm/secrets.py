@@ -21,7 +21,7 @@ import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import table, text_of
+from sluicegate.llm.common import sampled, table, text_of
 
 # Patterns of the base rules and the least lengths of what they find.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -87,7 +87,7 @@ def base_spans(text: Column) -> dict[str, Column]:
 def labelled_samples(docs: DataFrame, text: str = "text", id_col: str = "doc_id", most: int = SAMPLE_DOCS) -> DataFrame:
     """(token, random) out of ``most`` documents at most."""
     body = text_of(text)
-    rows = docs.select(F.xxhash64(F.col(id_col), body).alias("_order"), body.alias("_text")).orderBy("_order", "_text").limit(most)
+    rows = sampled(docs.select(F.xxhash64(F.col(id_col)).alias("_order"), body.alias("_text")), "_order", most)
     secret = "(?:" + ASSIGN + "|" + ACCESS.replace("+", "{16,}") + "|[0-9a-f]{%d,})" % HEX_LEAST
     values = F.concat(
         F.regexp_extract_all("_text", F.lit(ASSIGN), F.lit(2)),

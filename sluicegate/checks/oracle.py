@@ -147,6 +147,19 @@ WITH snapshots AS (
 )
 """
 
+_MOVES = """
+SELECT CASE WHEN event_id % 8 = 0 THEN 'N' ELSE 'M' END || event_id AS user_id,
+  strftime(TIMESTAMP '2025-11-11 00:00:00' + to_seconds(event_id), '%Y-%m-%d %H:%M:%S') AS event_time,
+  CASE WHEN event_id % 8 = 4 THEN '/same' ELSE '/page/' || (event_id % 7) END AS page
+FROM events
+"""
+_MOVES_DIRTY = """
+SELECT reason, count(*) AS dirty_cnt FROM (
+  SELECT CASE event_id % 8 WHEN 1 THEN 'NO_DATA_FIELD' WHEN 2 THEN 'PARSE_ERROR' WHEN 3 THEN 'INVALID_APP_ID'
+    WHEN 5 THEN 'UNKNOWN_OP' WHEN 6 THEN 'PARSE_ERROR' END AS reason FROM events
+) WHERE reason IS NOT NULL GROUP BY reason
+"""
+
 _CDC_ROW = _EVENT + ", ext_json, op_type, " + _TS.format("op_ts")
 _ENDED = "TIMESTAMP '2026-01-01 01:06:40'"
 
@@ -215,6 +228,11 @@ def oracle_sql() -> dict[str, str]:
         "upsert_lake": _CDC + f"SELECT {_CDC_ROW}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt FROM state",
         "append_changes": _CDC + f"SELECT {_CDC_ROW}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt FROM state",
         "compact_partitions": _CDC + f"SELECT {_CDC_ROW}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt FROM state",
+        "exactly_once_commit": _CDC
+        + ", kept AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY arrival DESC) AS nth FROM named WHERE arrival % 3 <> 1) "
+        + f"SELECT {_CDC_ROW}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt FROM kept WHERE nth = 1 AND op_type <> 'D'",
+        "cdc_key_moves": _MOVES,
+        "cdc_dirty_by_reason": _MOVES_DIRTY,
         "stream_cdc_to_lake": _CDC + f"SELECT {_CDC_ROW}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt FROM state",
         # event time, late rows, repeats
         "assign_event_time": _LATE + "SELECT arrival, epoch_ms(event_time) AS event_ts FROM clean",
@@ -249,6 +267,10 @@ SELECT e.event_id, e.event_type FROM chain JOIN e USING (event_type, seen)""",
         "filter_partition": _LOGS + f"SELECT arrival, {_EVENT} FROM clean WHERE CAST(event_time AS DATE) = DATE '2024-01-15'",
         # reports
         "hourly_event_count": _LOGS + _HOURLY.format("clean"),
+        "hourly_event_count_from": _LOGS
+        + _HOURLY.format("(SELECT * FROM clean WHERE event_time >= TIMESTAMP '2024-01-10 00:00:00')"),
+        "hourly_event_count_until": _LOGS
+        + _HOURLY.format("(SELECT * FROM clean WHERE event_time < TIMESTAMP '2024-01-20 00:00:00')"),
         "hourly_event_count_range": _LOGS
         + _HOURLY.format("clean WHERE event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-20'"),
         "cleaned_count": _LOGS + "SELECT count(*) AS ods_cleaned_cnt FROM clean",

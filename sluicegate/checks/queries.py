@@ -19,7 +19,7 @@ from sluicegate.sinks import jdbc, tables
 from sluicegate.sinks import lake as lake_sink
 from sluicegate.sources import lake as lake_source
 from sluicegate.sources.logs import read_raw_files, without_empty
-from sluicegate.sources.tables import filter_partition, read_ods_table, spread, stage
+from sluicegate.sources.tables import filter_partition, read_ods_table, stage
 from sluicegate.streaming import changes as change_stream
 from sluicegate.streaming import stages
 
@@ -38,7 +38,8 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    """Dealt out to all tasks, since what is derived from a row costs far more than moving it."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet").repartition("event_id")
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,18 +196,20 @@ def dedup_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_rounds(spark: SparkSession, sf_dir: str, rounds: int = 4) -> str:
-    """Write the late-arrival log as one file per quarter of the arrivals, then run both streams over it."""
+    """Write the late-arrival log in quarters of the arrivals, of many files each, and run both streams after them."""
     root = work_dir(spark, "stream")
     events = _events(spark, sf_dir)
     logs = fixtures.late_logs(events)
     size = events.agg(F.expr(f"(max(event_id) + {rounds}) div {rounds}").alias("size")).first()["size"]
     numbered = logs.select("arrival", "raw", F.call_function("div", "batch_id", F.lit(size)).alias("_round"))
     for number in range(rounds):
-        part = numbered.where(F.col("_round") == number).drop("_round")
-        part.coalesce(1).write.mode("append").parquet(f"{root}/input")
-    source = spark.readStream.schema("arrival bigint, raw string").option("maxFilesPerTrigger", 1).parquet(f"{root}/input")
-    stages.start_cleaning(source, root, trigger=None, as_of=AS_OF).awaitTermination()
-    stages.start_dedup(spark, root, trigger=None).awaitTermination()
+        numbered.where(F.col("_round") == number).drop("_round").write.parquet(f"{root}/input/part={number}")
+        source = spark.readStream.schema("arrival bigint, raw string, part int").parquet(f"{root}/input").drop("part")
+        stages.start_cleaning(source, root, trigger=None, as_of=AS_OF).awaitTermination()
+        if number % 2:  # two batches of the first stream at once
+            query = stages.start_dedup(spark, root, trigger=None)
+            query.awaitTermination()
+            stages.check_nothing_dropped(query)
     return root
 
 
@@ -220,14 +223,30 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.read.parquet(f"{root}/late").select(*EVENT_COLUMNS, "late_ms", "source_watermark"))
 
 
+def _moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.cdc_parse_clean(fixtures.moving_envelopes(_events(spark, sf_dir)), key_moves=True)
+
+
+def exactly_once_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An attempt that wrote twice the days and was never committed, a retry, a repetition, and a second stream's batch of the same number."""
+    root = work_dir(spark, "once")
+    changes = stage(_changes(spark, sf_dir), "changes")
+    part = lambda k: changes.where(F.col("arrival") % 3 == k)
+    rows = cdc.to_lake_row(cdc.latest_per_key(part(0)))
+    left_behind = rows.unionByName(rows.withColumn("dt", F.date_add("dt", 400))).withColumn("commit_id", F.lit("a-0~failed"))
+    left_behind.write.partitionBy("dt", "commit_id").parquet(lake_source.data_path(root))
+    for commit_id, k in (("a-0", 0), ("a-0", 1), ("b-0", 2)):
+        lake_sink.append_changes(spark, root, part(k), commit_id, "arrival")
+    return _lake_state(spark, root)
+
+
 def stream_cdc_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "cdc-stream")
     envelopes = _envelopes(spark, sf_dir)
     for step in range(3):
-        part = envelopes.where(F.col("arrival") % 3 == step)
-        part.coalesce(1).write.mode("append").parquet(f"{root}/input")
-    source = spark.readStream.schema("arrival bigint, raw string").option("maxFilesPerTrigger", 1).parquet(f"{root}/input")
-    change_stream.start_cdc_to_lake(source, root, trigger=None).awaitTermination()
+        envelopes.where(F.col("arrival") % 3 == step).write.parquet(f"{root}/input/part={step}")
+        source = spark.readStream.schema("arrival bigint, raw string, part int").parquet(f"{root}/input").drop("part")
+        change_stream.start_cdc_to_lake(source, root, trigger=None).awaitTermination()
     return _lake_state(spark, root)
 
 
@@ -365,6 +384,11 @@ def queries() -> dict[str, Query]:
         "append_changes": lambda s, d: _lake_state(s, _lake_of_changes(s, d, rewrite=False)),
         "compact_partitions": compact_partitions,
         "stream_cdc_to_lake": stream_cdc_to_lake,
+        "cdc_key_moves": lambda s, d: _plain(
+            cdc.cdc_latest_state(cdc.cdc_clean_rows(_moves(s, d), ("arrival",))).select("user_id", "event_time", "page")
+        ),
+        "cdc_dirty_by_reason": lambda s, d: reports.dirty_by_reason(_moves(s, d)),
+        "exactly_once_commit": exactly_once_commit,
         "assign_event_time": lambda s, d: late.assign_event_time(_late_clean(s, d)).select("arrival", "event_ts"),
         "bounded_watermark": bounded_watermark,
         "route_late": lambda s, d: _routed(s, d).select("arrival", "route"),
@@ -386,6 +410,8 @@ def queries() -> dict[str, Query]:
         "hourly_event_count_range": lambda s, d: reports.hourly_event_count(
             _dated(s, d), "2024-01-10 00:00:00", "2024-01-20 00:00:00"
         ),
+        "hourly_event_count_from": lambda s, d: reports.hourly_event_count(_dated(s, d), start="2024-01-10 00:00:00"),
+        "hourly_event_count_until": lambda s, d: reports.hourly_event_count(_dated(s, d), end="2024-01-20 00:00:00"),
         "cleaned_count": lambda s, d: reports.cleaned_count(_clean(s, d)),
         "dirty_rate": lambda s, d: reports.dirty_rate(_tagged(s, d)),
         "dirty_by_reason": lambda s, d: reports.dirty_by_reason(_tagged(s, d)),

@@ -113,6 +113,35 @@ def cdc_envelopes(events: DataFrame) -> DataFrame:
     return events.select(_id().alias("arrival"), F.to_json(envelope).alias("raw"))
 
 
+def moving_envelopes(events: DataFrame) -> DataFrame:
+    """``arrival, raw``: a create per event, then an update whose kind goes by ``event_id % 8``.
+
+    0 a new user, 1 no row after, 2 a second object in the text, 3 a new user but a bad app, 4 the same key written otherwise,
+    5 an unknown operation, 6 nothing but a bracket, 7 a snapshot of the same row.
+    """
+    kind = _id() % 8
+    time = F.timestamp_seconds(F.unix_timestamp(F.lit(LATE_BASE)) + _id())
+    fields = _event_fields(F.date_format(time, "yyyy-MM-dd HH:mm:ss"), _id())
+    fields["user_id"] = F.concat(F.lit("M"), _id().cast("string"))
+    old = _as_struct(fields)
+    moved = _as_struct(fields | {"user_id": F.concat(F.lit("N"), _id().cast("string"))})
+    other = _as_struct(fields | {"event_time": F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"), "page": F.lit("/same")})
+    bad = _as_struct(fields | {"user_id": F.concat(F.lit("N"), _id().cast("string")), "app_id": F.lit("pc")})
+    after = F.when(kind == 0, moved).when(kind == 3, bad).when(kind == 4, other).when(kind != 1, moved)
+    op = F.when(kind == 5, "t").when(kind == 7, "r").otherwise("u")
+    seconds = F.unix_timestamp(F.lit(LATE_BASE)) + _id()
+
+    def text(op: Column, before: Column, after: Column, ts: Column) -> Column:
+        return F.to_json(F.struct(op.alias("op"), before.alias("before"), after.alias("after"), ts.alias("ts_ms")))
+
+    none = F.lit(None).cast("string")
+    create = text(F.lit("c"), none, old, seconds * 1000)
+    update = text(op, old, F.when(kind == 7, old).otherwise(after), seconds * 1000 + 1)
+    update = F.when(kind == 2, F.concat(update, update)).when(kind == 6, F.lit("]")).otherwise(update)
+    both = events.select(_id().alias("_n"), F.posexplode(F.array(create, update)).alias("_k", "raw"))
+    return both.select((F.col("_n") * 2 + F.col("_k")).alias("arrival"), "raw")
+
+
 def file_listing(events: DataFrame) -> DataFrame:
     """A file listing: one file per day and 50th of the users, its size from the rows it would hold."""
     name = F.concat(F.lit("part-"), F.lpad((F.col("user_id") % 50).cast("string"), 2, "0"))
@@ -125,6 +154,7 @@ def file_listing(events: DataFrame) -> DataFrame:
         F.concat(F.lit("dt="), F.col("dt").cast("string"), F.lit("/"), F.col("_name")).alias("file_path"),
         "file_size_in_bytes",
         F.concat(F.lit("c"), (number % 7).cast("string")).alias("commit_id"),
+        F.col("dt").cast("timestamp").alias("modified_at"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.constants import KNOWN_FIELDS
@@ -43,6 +43,15 @@ def known_fields_ddl() -> str:
     return ", ".join(f"{name}: string" for name in KNOWN_FIELDS)
 
 
+def typed_entries(df: DataFrame, raw: Column, kind: str = "map<string, variant>") -> Column:
+    """Entries of an object with their JSON types; of a key repeated anywhere inside a value the last one counts.
+
+    Spark refuses repeated keys in variants unless told otherwise, and then the whole object would be lost.
+    """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return F.from_json(raw, kind)
+
+
 def unknown_entries(entries: Column) -> Column:
     """Entries of a ``map<string, variant>`` whose key is not a known field."""
     return F.map_filter(entries, lambda key, _: ~key.isin(*KNOWN_FIELDS))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the characters a trim removes, every one up to and including the space.
 _TRIMMED = "".join(map(chr, range(0x21)))
+_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def strip(text: Column) -> Column:
@@ -19,11 +20,12 @@ def is_blank(text: Column) -> Column:
 
 
 def to_whole_number(text: Column) -> Column:
-    """Number text as BIGINT, fractions cut; NULL for anything else.
+    """Number text as BIGINT, fractions cut; NULL for anything else, such as ``12d``, which a cast would take.
 
     Whole numbers are read as such first, so digits beyond a double's precision survive.
     """
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    number = F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    return F.when(strip(text).rlike(_NUMBER), number)
 
 
 def is_number_or_absent(text: Column) -> Column:

@@ -11,10 +11,11 @@ from sluicegate.functions.payload import (
     is_one_object,
     known_fields_ddl,
     parse_elements,
+    typed_entries,
     unknown_entries,
     wrapped,
 )
-from sluicegate.functions.text import to_whole_number
+from sluicegate.functions.text import is_blank, strip, to_whole_number
 from sluicegate.functions.times import parse_event_time
 from sluicegate.operators import rules
 from sluicegate.operators.clean import verdict_columns
@@ -42,11 +43,11 @@ def cdc_op_ts(ts_ms: Column) -> Column:
 
 
 def _cdc_rules(raw: Column, elements: Column, envelope: Column, op_type: Column, image: Column, event_time: Column):
-    nothing = raw.isNull() | (F.size(elements) == 0) | ((F.size(elements) == 1) & envelope.isNull())
+    nothing = is_blank(raw) | (strip(raw) == "null")
     no_detail = F.lit(None).cast("string")
     return [
         (F.coalesce(nothing, F.lit(False)), C.EMPTY_JSON, no_detail),
-        (~is_one_object(raw, elements), C.PARSE_ERROR, F.lit("not a JSON object")),
+        (~is_one_object(raw, elements) | envelope.isNull(), C.PARSE_ERROR, F.lit("not a JSON object")),
         (op_type.isNull(), C.UNKNOWN_OP, F.coalesce(envelope["op"], F.lit("null"))),
         (image.isNull(), C.NO_DATA_FIELD, no_detail),
         *rules.rule_missing_fields(image, list_names=False),
@@ -72,14 +73,15 @@ def parse_envelopes(envelopes: DataFrame, raw: str = "raw") -> DataFrame:
     )
 
 
-def cdc_parse_clean(envelopes: DataFrame, raw: str = "raw") -> DataFrame:
+def cdc_parse_clean(envelopes: DataFrame, raw: str = "raw", key_moves: bool = False) -> DataFrame:
     """Tag change envelopes CLEAN or DIRTY and project the event columns, ``op_type`` and ``op_ts``.
 
-    Event times of any age pass, an absent duration stays absent.
+    Event times of any age pass, an absent duration stays absent. With ``key_moves`` a clean update that changes a
+    key column comes with a delete of the row under the old key, see :func:`with_key_moves`.
     """
     text = F.col(raw)
-    images = F.from_json(
-        wrapped(text), f"array<struct<{BEFORE}: map<string, variant>, {AFTER}: map<string, variant>>>"
+    images = typed_entries(
+        envelopes, wrapped(text), f"array<struct<{BEFORE}: map<string, variant>, {AFTER}: map<string, variant>>>"
     )
     parsed = (
         parse_envelopes(envelopes, raw)
@@ -88,48 +90,57 @@ def cdc_parse_clean(envelopes: DataFrame, raw: str = "raw") -> DataFrame:
     )
     op_type, image, event_time = F.col("_op_type"), F.col("_image"), F.col("_event_time")
     why = rules.first_broken(_cdc_rules(text, F.col("_elements"), F.col("_envelope"), op_type, image, event_time))
-    return parsed.withColumn("_why", why).select(
+    before = F.col("_envelope.before")
+    before_time = parse_event_time(before["event_time"])
+    old = F.when(
+        (op_type == "U") & before.isNotNull() & ~is_blank(before["user_id"]) & ~is_blank(before["event_type"]) & before_time.isNotNull(),
+        F.struct(*rules.project_known_fields(before, before_time, duration_default=None)),
+    )
+    tagged = parsed.withColumn("_why", why).select(
         *envelopes.columns,
         *rules.project_known_fields(image, event_time, duration_default=None),
         collect_ext_json(F.col("_unknown")).alias("ext_json"),
         op_type.alias("op_type"),
         cdc_op_ts(F.col("_envelope.ts_ms")).alias("op_ts"),
         *verdict_columns(F.col("_why")),
+        *([old.alias("_old")] if key_moves else []),
     )
+    return with_key_moves(tagged) if key_moves else tagged
 
 
 def cdc_clean_rows(tagged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return tagged.where(F.col("verdict") == "CLEAN").select(*keep, *CDC_COLUMNS)
 
 
-def expand_key_moves(envelopes: DataFrame, raw: str = "raw") -> DataFrame:
-    """Put a delete of the old row in front of every update that changes a key column.
+def with_key_moves(tagged: DataFrame) -> DataFrame:
+    """Put a delete of the old row beside every clean update that changes a key column.
 
-    Without it the row under the old key would stay. The added envelopes carry the row before
-    the change, the same time and arrival; deletes sort before other changes of that moment.
+    Without it the row under the old key would stay. ``_old`` holds the cleaned row before the change and is dropped.
+    A rejected update moves nothing, as it is not applied; keys are compared as they are stored, after trimming and
+    reading of times. Deletes carry time and arrival of their update and sort before other changes of that moment.
     """
-    parsed = parse_envelopes(envelopes, raw)
-    before, after = F.col("_envelope.before"), F.col("_envelope.after")
+    old = F.col("_old")
     same = F.lit(True)
     for name in C.DEDUP_KEY:
-        same = same & before[name].eqNullSafe(after[name])
-    moved = (F.col("_op_type") == "U") & before.isNotNull() & ~same
-    removal = F.to_json(F.struct(F.lit("d").alias("op"), before.alias("before"), F.col("_envelope.ts_ms").alias("ts_ms")))
-    texts = F.when(moved, F.array(removal, F.col(raw))).otherwise(F.array(F.col(raw)))
-    others = [name for name in envelopes.columns if name != raw]
-    return parsed.select(*others, F.explode(texts).alias(raw))
+        same = same & old[name].eqNullSafe(F.col(name))
+    moved = F.coalesce((F.col("verdict") == "CLEAN") & old.isNotNull() & ~same, F.lit(False))
+    names = [name for name in tagged.columns if name != "_old"]
+    fixed = {"op_type": F.lit("D"), "ext_json": F.lit(None).cast("string")}
+    removal = F.struct(*((old[n] if n in C.KNOWN_FIELDS else fixed.get(n, F.col(n))).alias(n) for n in names))
+    change = F.struct(*names)
+    return tagged.select(F.explode(F.when(moved, F.array(removal, change)).otherwise(F.array(change))).alias("_row")).select("_row.*")
 
 
-def newest_first(op_ts: str, arrival: str) -> list[Column]:
+def newest_first(op_ts: str, arrival: str | tuple[str, ...]) -> list[Column]:
     """Newest change first: by source time, then arrival; of one arrival the non-delete is the newer."""
     return [
         F.col(op_ts).desc_nulls_last(),
-        F.col(arrival).desc(),
+        *(F.col(name).desc() for name in ((arrival,) if isinstance(arrival, str) else arrival)),
         (F.col("op_type") == "D").asc(),
     ]
 
 
-def latest_per_key(changes: DataFrame, arrival: str = "arrival", key: tuple[str, ...] = C.DEDUP_KEY) -> DataFrame:
+def latest_per_key(changes: DataFrame, arrival: str | tuple[str, ...] = "arrival", key: tuple[str, ...] = C.DEDUP_KEY) -> DataFrame:
     """The newest change of every key, deletes included; losers are dropped before the shuffle."""
     newest = F.row_number().over(Window.partitionBy(*key).orderBy(*newest_first("op_ts", arrival)))
     return changes.withColumn("_nth", newest).where(F.col("_nth") == 1).drop("_nth")
@@ -137,7 +148,7 @@ def latest_per_key(changes: DataFrame, arrival: str = "arrival", key: tuple[str,
 
 def cdc_latest_state(
     changes: DataFrame,
-    arrival: str = "arrival",
+    arrival: str | tuple[str, ...] = "arrival",
     key: tuple[str, ...] = C.DEDUP_KEY,
     keep_tombstones: bool = False,
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from sluicegate.functions.payload import (
     collect_ext_json,
     known_fields_ddl,
     parse_elements,
+    typed_entries,
     unknown_entries,
 )
 from sluicegate.functions.times import as_instant, parse_event_time
@@ -62,7 +63,7 @@ def clean_events(
     text = F.col(raw)
     carried = [F.col(name) for name in logs.columns]
     fields = parse_once(logs, raw).withColumn(
-        "_unknown", unknown_entries(F.from_json(text, "map<string, variant>"))
+        "_unknown", unknown_entries(typed_entries(logs, text))
     )
     row, event_time = F.col("_fields"), F.col("_event_time")
     why = rules.first_broken(

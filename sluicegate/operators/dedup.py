@@ -46,18 +46,18 @@ def dedup_ttl(
     # Written out first, so that joining with the usual handful of keys needs no shuffle of the events.
     long_keys = stage(spans.where(F.col("_to") - F.col("_from") >= ttl_ms).select(*key), "long-keys")
     order = ("_at", arrival)
-    short = dedup_first_seen(_join_on(timed, long_keys, key, "left_anti"), order, key)
+    short = dedup_first_seen(join_on(timed, long_keys, key, "left_anti"), order, key)
     instants = dedup_first_seen(
-        _join_on(timed, long_keys, key, "left_semi"), arrival, (*key, "_at")
+        join_on(timed, long_keys, key, "left_semi"), arrival, (*key, "_at")
     ).withColumn("_period", F.call_function("div", F.col("_at"), F.lit(ttl_ms)))
-    placed = _join_on(instants, _stretches(instants, key, ttl_ms), (*key, "_period"), "inner", "_stretch")
+    placed = join_on(instants, _stretches(instants, key, ttl_ms), (*key, "_period"), "inner", "_stretch")
     unit = (*key, "_stretch")
     ordered = placed.repartition(*unit).sortWithinPartitions(*unit, "_at")
     walked = ordered.mapInArrow(_walk(unit, ttl_ms), ordered.schema)
     return short.select(*events.columns).unionByName(walked.select(*events.columns))
 
 
-def _join_on(left: DataFrame, right: DataFrame, columns: tuple[str, ...], how: str, *added: str) -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame, columns: tuple[str, ...], how: str, *added: str) -> DataFrame:
     """Join on columns where null equals null, keeping the left side's columns and those named."""
     same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in columns]
     return left.alias("l").join(right.alias("r"), same, how).select("l.*", *added)

@@ -48,23 +48,15 @@ def prior_max(
 
     A running maximum over everything would run in one task. Here the order numbers are cut
     into segments of fixed width: each segment is ordered on its own (at most ``segment``
-    rows, whatever the data looks like), and the maxima of the segments, and of groups of
-    segments, are carried forward. The last level has one row per ``segment * group`` numbers.
+    rows, whatever the data looks like), and the maxima of the segments, of groups of segments and so on are carried forward,
+    until a unit is so wide that all whole numbers make up a few of them, however far apart they lie.
     """
     rows = rows.withColumn("_segment", F.call_function("div", F.col(order), F.lit(segment)))
-    segments = (
-        rows.groupBy("_segment")
-        .agg(F.max(value).alias("_segment_max"))
-        .withColumn("_group", F.call_function("div", F.col("_segment"), F.lit(group)))
-    )
-    groups = segments.groupBy("_group").agg(F.max("_segment_max").alias("_group_max"))
-    earlier_groups = groups.select("_group", F.max("_group_max").over(_before([], "_group")).alias("_earlier_groups"))
-    in_group = F.max("_segment_max").over(_before(["_group"], "_segment"))
-    earlier = (
-        segments.withColumn("_earlier_segments", in_group)
-        .join(earlier_groups, "_group")
-        .select("_segment", F.greatest("_earlier_segments", "_earlier_groups").alias("_earlier"))
-    )
+    maxima = rows.groupBy("_segment").agg(F.max(value).alias("_max"))
+    levels = 0
+    while segment * group**levels < 2**62:
+        levels += 1
+    earlier = _carried(maxima, "_segment", group, levels).withColumnRenamed("_carried", "_earlier")
     in_segment = F.max(value).over(_before(["_segment"], order))
     return (
         rows.join(earlier, "_segment", "left")
@@ -73,6 +65,17 @@ def prior_max(
     )
 
 
+def _carried(maxima: DataFrame, unit: str, group: int, levels: int) -> DataFrame:
+    """(unit, _carried): the maximum over all units before; only the last level, of a few rows, is one window."""
+    if not levels:
+        return maxima.select(unit, F.max("_max").over(_before([], unit)).alias("_carried"))
+    upper = f"_group{levels}"
+    grouped = maxima.withColumn(upper, F.call_function("div", F.col(unit), F.lit(group)))
+    above = _carried(grouped.groupBy(upper).agg(F.max("_max").alias("_max")), upper, group, levels - 1)
+    inside = grouped.withColumn("_inside", F.max("_max").over(_before([upper], unit)))
+    return inside.join(above, upper).select(unit, F.greatest("_inside", "_carried").alias("_carried"))
+
+
 def late_diagnostics(events: DataFrame, watermark: str = "watermark") -> DataFrame:
     """Add how late a row is and the watermark that decided it; both NULL for rows on time."""
     is_late = F.coalesce(F.col("event_time") < F.col(watermark), F.lit(False))

@@ -14,17 +14,22 @@ Clock = str | dt.datetime | Column | None
 
 
 def between_events(df: DataFrame, start: Clock, end: Clock) -> DataFrame:
-    """Half-open event-time range; on a dated table the same range on ``dt`` prunes partitions."""
-    low, high = as_instant(start), as_instant(end)
-    ranged = df.where((F.col("event_time") >= low) & (F.col("event_time") < high))
-    if "dt" in df.columns:
-        ranged = ranged.where(F.col("dt").between(F.to_date(low), F.to_date(high)))
-    return ranged
+    """Half-open event-time range, either bound by itself if the other is None; on a dated table the same range on ``dt`` prunes partitions."""
+    dated = "dt" in df.columns
+    if start is not None:
+        low = as_instant(start)
+        df = df.where(F.col("event_time") >= low)
+        df = df.where(F.col("dt") >= F.to_date(low)) if dated else df
+    if end is not None:
+        high = as_instant(end)
+        df = df.where(F.col("event_time") < high)
+        # the last instant inside the range: midnight itself opens no further day
+        df = df.where(F.col("dt") <= F.to_date(high - F.expr("INTERVAL 1 MICROSECOND"))) if dated else df
+    return df
 
 
 def hourly_event_count(events: DataFrame, start: Clock = None, end: Clock = None) -> DataFrame:
-    if start is not None and end is not None:
-        events = between_events(events, start, end)
+    events = between_events(events, start, end)
     # Truncating is cheap; only the few groups are formatted.
     hour = F.date_trunc("hour", "event_time").alias("_hour")
     return (

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,12 +10,15 @@ from sluicegate.functions.times import plus_ms
 from sluicegate.operators.cdc import latest_per_key
 from sluicegate.plans.reports import Clock, as_instant
 from sluicegate.schema import LAKE_COLUMNS
+from sluicegate.session import delete_path
 from sluicegate.sinks.lake import commit
 from sluicegate.sources import lake
 
 _MB = 1024 * 1024
 #: Files one task packs into bins at once.
 FILES_PER_SLICE = 10_000
+#: Files of unknown commits are left alone for so long, as their writers may still be running.
+ORPHAN_DAYS = 3
 
 
 def files_per_partition(files: DataFrame, last: int = C.REPORT_PARTITIONS) -> DataFrame:
@@ -188,26 +188,17 @@ def expired_files(spark: SparkSession, root: str, as_of: Clock = None, older_tha
 def find_orphan_files(files: DataFrame, commits: DataFrame, older_than: Clock = None) -> DataFrame:
     """Data files in folders no commit speaks of, such as those of a write that never finished.
 
-    Give ``older_than`` while writers are running: their files have no commit yet.
+    Files of running writers have no commit yet, so only files older than ``older_than`` count, three days by default.
     """
+    bound = plus_ms(F.current_timestamp(), -ORPHAN_DAYS * 86_400_000) if older_than is None else as_instant(older_than)
     orphans = files.join(commits.select("dt", "commit_id").distinct(), ["dt", "commit_id"], "left_anti")
-    return orphans if older_than is None else orphans.where(F.col("modified_at") < as_instant(older_than))
+    return orphans.where(F.col("modified_at") < bound)
 
 
 def delete_files(files: DataFrame) -> int:
-    """Delete the listed files, spread over the executors. Run it only on a plan you have looked at."""
-
-    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        for batch in batches:
-            removed = 0
-            for path in batch["file_path"]:
-                system, inner = fs.FileSystem.from_uri(path)
-                if system.get_file_info(inner).type == fs.FileType.File:
-                    system.delete_file(inner)
-                    removed += 1
-            yield pd.DataFrame({"removed": [removed]})
-
-    done = files.select("file_path").mapInPandas(remove, "removed bigint")
-    return done.agg(F.coalesce(F.sum("removed"), F.lit(0)).alias("n")).first()["n"]
+    """Delete the listed files, one after the other as they come to the driver. Run it only on a plan you have looked at.
+
+    Spark's own file systems are used, so any path that Spark reads can be deleted.
+    """
+    paths = files.select("file_path").toLocalIterator()
+    return sum(delete_path(files.sparkSession, row["file_path"]) for row in paths)

@@ -35,11 +35,17 @@ def _table_rows(events: DataFrame, etl_time: Column | None) -> DataFrame:
     )
 
 
-def merge_statement(table: str, staging: str, columns: tuple[str, ...], key: tuple[str, ...] = DEDUP_KEY) -> str:
-    """Move staged rows whose key is not stored yet; null key parts match each other."""
+def merge_statement(
+    table: str, staging: str, columns: tuple[str, ...], key: tuple[str, ...] = DEDUP_KEY, null_safe: str | None = None
+) -> str:
+    """Move staged rows whose key is not stored yet; null key parts match each other.
+
+    ``null_safe`` is the database's own operator for that, ``<=>`` or ``IS NOT DISTINCT FROM``; with it the key's index serves.
+    """
     names = ", ".join(columns)
     staged = ", ".join(f"s.{name}" for name in columns)
-    same = " AND ".join(f"(t.{name} = s.{name} OR (t.{name} IS NULL AND s.{name} IS NULL))" for name in key)
+    plain = "(t.{0} = s.{0} OR (t.{0} IS NULL AND s.{0} IS NULL))"
+    same = " AND ".join((f"t.{name} {null_safe} s.{name}" if null_safe else plain.format(name)) for name in key)
     return (
         f"INSERT INTO {table} ({names}) SELECT {staged} FROM {staging} s "
         f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE {same})"
@@ -63,19 +69,21 @@ def write_jdbc(
     table: str,
     execute: Callable[[str], object],
     key: tuple[str, ...] = DEDUP_KEY,
-    connections: int = 16,
+    connections: int | None = None,
     retries: int = JDBC_MAX_RETRIES,
+    null_safe: str | None = None,
 ) -> None:
     """Stage rows, then run :func:`merge_statement` through ``execute`` (one transaction of the caller's driver).
 
-    ``connections`` bounds the sessions opened at a time; rows are dealt out to that many tasks,
-    so what comes before keeps its own parallelism.
+    ``connections`` bounds the sessions opened at a time: rows of more tasks are gathered in so many, fewer tasks
+    are left as they are. Repeats of a key inside the batch are staged once.
     """
+    rows = rows.dropDuplicates(list(key))
     staging = f"{table}_stage"
-    statement = merge_statement(table, staging, tuple(rows.columns), key)
+    statement = merge_statement(table, staging, tuple(rows.columns), key, null_safe)
     for attempt in range(retries + 1):
         try:
-            jdbc_writer(rows.repartition(connections), options, staging).save()
+            jdbc_writer(rows.coalesce(connections) if connections else rows, options, staging).save()
             execute(statement)
             return
         except Exception:

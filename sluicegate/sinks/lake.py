@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,14 +45,17 @@ def commit(
     """Write rows into folders of this commit, then make them visible; False when it was done before.
 
     The commit table is written last and in one file, so readers see all of a commit or
-    nothing. Repeating a failed commit replaces what it left behind. ``replaced`` holds the
+    nothing. What a failed attempt left behind stays unseen until it is removed as orphaned. ``replaced`` holds the
     ``dt, commit_id`` folders the new rows stand in for.
     """
     if lake.is_committed(spark, root, commit_id):
         return False
+    # Folders of an attempt of its own: what a failed or refused attempt left behind can never become visible.
+    attempt = uuid.uuid4().hex
+    folder = f"{commit_id}~{attempt}"
     placed = rows if distributed else distribute(rows)
     writer = (
-        placed.withColumn("commit_id", F.lit(commit_id))
+        placed.withColumn("commit_id", F.lit(folder))
         .sortWithinPartitions("dt", "commit_id", "user_id", "event_time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -66,7 +71,7 @@ def commit(
         live = lake.live_commits(lake.read_commits(spark, root))
         if not replaced.join(live, ["dt", "commit_id"], "left_anti").isEmpty():
             raise RuntimeError(f"{commit_id}: another commit has rewritten the same days; start again from its result")
-    log = _commit_rows(spark, root, commit_id, operation, replaced)
+    log = _commit_rows(spark, root, folder, operation, replaced).withColumn("attempt", F.lit(attempt))
     log.coalesce(1).write.mode("overwrite").parquet(f"{lake.commits_path(root)}/commit_id={commit_id}")
     return True
 
@@ -112,7 +117,7 @@ def write_lake(spark: SparkSession, root: str, rows: DataFrame, commit_id: str)
     return commit(spark, root, rows.select(*LAKE_COLUMNS), commit_id)
 
 
-def append_changes(spark: SparkSession, root: str, changes: DataFrame, commit_id: str, arrival: str) -> bool:
+def append_changes(spark: SparkSession, root: str, changes: DataFrame, commit_id: str, arrival: str | tuple[str, ...]) -> bool:
     """Append the newest change per key; readers and compaction resolve them against older ones.
 
     The cheap way in for frequent small batches: nothing stored is read or rewritten.
@@ -120,7 +125,7 @@ def append_changes(spark: SparkSession, root: str, changes: DataFrame, commit_id
     return write_lake(spark, root, to_lake_row(latest_per_key(changes, arrival)), commit_id)
 
 
-def upsert_lake(spark: SparkSession, root: str, changes: DataFrame, commit_id: str, arrival: str) -> bool:
+def upsert_lake(spark: SparkSession, root: str, changes: DataFrame, commit_id: str, arrival: str | tuple[str, ...]) -> bool:
     """Apply changes by rewriting the days they touch.
 
     Stored and new rows compete by source time, so a delayed old update cannot replace a newer

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluicegate.schema import LAKE, LATE, MAIN
+from sluicegate.session import publish
 
 
 def write_batch(
-    rows: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = (), rebalance: bool = True
+    rows: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = (), rebalance: bool = True, whole: bool = False
 ) -> None:
     """Write a micro-batch into its own folder; repeating the batch replaces the folder.
 
+    With ``whole`` the folder appears under its name in one step when all files are written (where the file system renames
+    folders so), and repeating the batch leaves it: a stream that reads the folder sees all of a batch or nothing.
+
     ``rebalance`` gathers the rows of many tasks into files of a sensible size and splits what
     is too big; leave it out for rows that have just been shuffled.
     """
@@ -20,7 +24,11 @@ def write_batch(
     writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    if whole:
+        writer.parquet(f"{path}/.writing-{batch_id}")
+        publish(rows.sparkSession, f"{path}/.writing-{batch_id}", f"{path}/batch_id={batch_id}")
+    else:
+        writer.parquet(f"{path}/batch_id={batch_id}")
 
 
 def write_dirty(dirty: DataFrame, path: str, batch_id: int) -> None:

@@ -24,6 +24,7 @@ COMMIT = T.StructType(
         T.StructField("dt", T.DateType()),
         T.StructField("replaced", T.ArrayType(T.StringType())),
         T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("attempt", T.StringType()),
         T.StructField("commit_id", T.StringType()),
     ]
 )
@@ -47,8 +48,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, **options: str)
 
 
 def read_commits(spark: SparkSession, root: str) -> DataFrame:
-    """One row per commit and day."""
-    return _read(spark, commits_path(root), COMMIT)
+    """One row per commit and day; ``commit_id`` names the folders of the attempt that was committed."""
+    return _read(spark, commits_path(root), COMMIT).withColumn("commit_id", F.concat_ws("~", "commit_id", "attempt"))
 
 
 def is_committed(spark: SparkSession, root: str, commit_id: str) -> bool:

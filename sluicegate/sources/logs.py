@@ -43,7 +43,7 @@ def kafka_to_raw(records: DataFrame) -> DataFrame:
 def read_raw_files(
     spark: SparkSession, path: str, streaming: bool = True, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same from text files, one message per line; a line's place in its file is its arrival order."""
+    """The same from text files, one message per line. Files arrive in the order of their times; lines of one file arrive together."""
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -51,6 +51,7 @@ def read_raw_files(
     return lines.select(
         F.col("value").alias("raw"),
         F.col("_metadata.file_path").alias("topic"),
+        F.unix_micros("_metadata.file_modification_time").alias("arrival"),
         F.col("_metadata.file_modification_time").alias("arrived_at"),
     )
 

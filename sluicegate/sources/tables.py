@@ -33,16 +33,6 @@ def read_ods_table(
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def spread(df: DataFrame, by: str) -> DataFrame:
-    """Deal rows out to all cores when the table has fewer files than there are cores.
-
-    A small table in one file would otherwise be parsed by a single task. Bigger tables are
-    returned as they are; a shuffle would only cost there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if len(df.inputFiles()) < cores else df
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result that is used more than once to the shared folder and read it back.
 

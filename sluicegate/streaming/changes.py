@@ -9,18 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from sluicegate.constants import DEDUP_KEY, DEDUP_TTL_MS
-from sluicegate.operators.cdc import cdc_clean_rows, cdc_parse_clean, expand_key_moves
+from sluicegate.operators.cdc import cdc_clean_rows, cdc_parse_clean
 from sluicegate.operators.clean import dirty_records
 from sluicegate.session import use_state_backend
 from sluicegate.sinks.lake import append_changes, upsert_lake
 from sluicegate.sinks.tables import write_dirty
+from sluicegate.streaming.marks import query_id
 from sluicegate.streaming.stages import start
 
 
 def start_cdc_to_lake(
     envelopes: DataFrame,
     root: str,
-    arrival: str = "arrival",
+    arrival: str | tuple[str, ...] = "arrival",
     trigger: str | None = "30 seconds",
     name: str = "cdc",
     rewrite: bool = False,
@@ -28,8 +29,10 @@ def start_cdc_to_lake(
     """Clean change envelopes and bring each micro-batch into the lake as one commit.
 
     Changes are appended and resolved on read and in compaction; ``rewrite`` replaces the
-    touched days at once instead. A batch found in the commit table is not written again.
+    touched days at once instead. A batch that this stream has committed is not written again; commits are named by the
+    checkpoint's identity, so a new checkpoint on an old root skips nothing.
     """
+    order = (arrival,) if isinstance(arrival, str) else arrival
     apply = upsert_lake if rewrite else append_changes
 
     def each_batch(tagged: DataFrame, batch_id: int) -> None:
@@ -37,11 +40,12 @@ def start_cdc_to_lake(
         tagged = tagged.persist()
         try:
             write_dirty(dirty_records(tagged), f"{root}/dirty", batch_id)
-            apply(spark, root, cdc_clean_rows(tagged, (arrival,)), f"{name}-{batch_id}", arrival)
+            owner = query_id(spark, f"{root}/checkpoints/{name}")
+            apply(spark, root, cdc_clean_rows(tagged, order), "-".join(filter(None, (name, owner, str(batch_id)))), arrival)
         finally:
             tagged.unpersist()
 
-    tagged = cdc_parse_clean(expand_key_moves(envelopes))
+    tagged = cdc_parse_clean(envelopes, key_moves=True)
     return start(tagged, f"{root}/checkpoints/{name}", each_batch, trigger, name)
 
 

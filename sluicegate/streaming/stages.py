@@ -17,13 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluicegate.constants import DEDUP_KEY, JDBC_BATCH_INTERVAL, WATERMARK_DELAY_MS
 from sluicegate.operators.clean import clean_events, clean_rows, dirty_records
-from sluicegate.operators.dedup import dedup_first_seen
+from sluicegate.operators.dedup import dedup_first_seen, join_on
 from sluicegate.operators.late import bounded_watermark, late_diagnostics, late_rows, on_time_rows
 from sluicegate.schema import EVENT, nullable
 from sluicegate.session import use_state_backend
 from sluicegate.sinks.jdbc import late_table_rows, main_table_rows
 from sluicegate.sinks.tables import write_batch, write_dirty
-from sluicegate.streaming.marks import read_mark, write_mark
+from sluicegate.streaming.marks import query_id, read_mark, read_position, write_mark, write_position
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -55,17 +55,18 @@ def route_batch(
 ) -> BatchWriter:
     """Batch function of the first stream: dirty, late and on-time rows to their tables, then the mark.
 
-    The mark is written last; a batch that has one is done. Repeats inside the batch are
+    The mark is written last; a batch that has one, from this stream, is done. Repeats inside the batch are
     removed here, where map tasks can drop them before any shuffle.
     """
     order = (arrival,) if isinstance(arrival, str) else arrival
 
     def each_batch(tagged: DataFrame, batch_id: int) -> None:
         spark = tagged.sparkSession
-        done, _ = read_mark(spark, f"{root}/marks", batch_id)
+        owner = query_id(spark, f"{root}/checkpoints/clean")
+        done, _ = read_mark(spark, f"{root}/marks", batch_id, owner)
         if done:
             return
-        _, greatest = read_mark(spark, f"{root}/marks", batch_id - 1)
+        _, greatest = read_mark(spark, f"{root}/marks", batch_id - 1, owner)
         tagged = tagged.persist()
         try:
             clean = clean_rows(tagged, order)
@@ -74,10 +75,10 @@ def route_batch(
             write_dirty(dirty_records(tagged, order), f"{root}/dirty", batch_id)
             write_late(late_table_rows(late_rows(routed)), batch_id)
             on_time = dedup_first_seen(on_time_rows(routed), order).drop("watermark")
-            write_batch(on_time, f"{root}/on_time", batch_id, rebalance=False)
+            write_batch(on_time, f"{root}/on_time", batch_id, rebalance=False, whole=True)
             newest = clean.agg(F.max("event_time").alias("newest")).first()["newest"]
             known = [time for time in (greatest, newest) if time is not None]
-            write_mark(spark, f"{root}/marks", batch_id, max(known, default=None))
+            write_mark(spark, f"{root}/marks", batch_id, max(known, default=None), owner)
         finally:
             tagged.unpersist()
 
@@ -109,10 +110,12 @@ def on_time_stream(
     spark: SparkSession,
     root: str,
     arrival: dict[str, str] | None = None,
-    max_files: int | None = None,
     archive: str | None = None,
 ) -> DataFrame:
-    """What the first stream appends, as a stream. A file replaced by a repeated batch may be missing by then.
+    """What the first stream appends, as a stream, in whole batches.
+
+    A part of a batch would move Spark's watermark past the rest of it, so the number of files is not limited and a
+    batch's folder appears in one step.
 
     Files read are moved to ``archive`` where given, so that a long-running stream lists few folders.
     """
@@ -120,8 +123,6 @@ def on_time_stream(
     schema = T.StructType([*T.StructType.fromDDL(order).fields, *nullable(EVENT).fields])
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/on_time/batch_id=-1")
     reader = spark.readStream.schema(schema.add("batch_id", T.LongType())).option("ignoreMissingFiles", "true")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.parquet(f"{root}/on_time")
@@ -139,20 +140,42 @@ def start_dedup(
     arrival: dict[str, str] | None = None,
     trigger: str | None = JDBC_BATCH_INTERVAL,
     keep_for: str = "1 hour",
-    max_files: int | None = None,
     archive: str | None = None,
 ) -> StreamingQuery:
-    """Second stream: rows on time, once each, to the main table."""
+    """Second stream: rows on time, once each, to the main table.
+
+    Where it reads several batches of the first stream at once, Spark's state only says which keys are new. The row that
+    stays is then looked up among those batches: the one of the lowest arrival.
+    """
     use_state_backend(spark)
     writer = write_main or parquet_writer(f"{root}/main")
-    unique = drop_repeats(on_time_stream(spark, root, arrival, max_files, archive), keep_for)
-    return start(
-        unique,
-        f"{root}/checkpoints/dedup",
-        lambda rows, batch_id: writer(main_table_rows(rows), batch_id),
-        trigger,
-        "dedup",
-    )
+    stream = on_time_stream(spark, root, arrival, archive)
+    order = tuple(arrival or {"arrival": "bigint"})
+
+    def each_batch(new: DataFrame, batch_id: int) -> None:
+        session = new.sparkSession
+        new = new.persist()
+        try:
+            low, high = new.agg(F.min("batch_id"), F.max("batch_id")).first()
+            _, start_at = read_position(session, f"{root}/positions", batch_id - 1)
+            rows = new
+            if low is not None and (low != high or start_at is None or high > start_at + 1):
+                stored = session.read.schema(stream.schema).option("basePath", f"{root}/on_time").option("ignoreMissingFiles", "true")
+                recent = stored.parquet(f"{root}/on_time").where(F.col("batch_id") >= (-1 if start_at is None else start_at))
+                rows = dedup_first_seen(join_on(recent, new.select(*DEDUP_KEY), DEDUP_KEY, "left_semi"), ("batch_id", *order))
+            writer(main_table_rows(rows), batch_id)
+            write_position(session, f"{root}/positions", batch_id, start_at if high is None else high)
+        finally:
+            new.unpersist()
+
+    return start(drop_repeats(stream, keep_for), f"{root}/checkpoints/dedup", each_batch, trigger, "dedup")
+
+
+def check_nothing_dropped(query: StreamingQuery) -> None:
+    """Raise when Spark's own watermark has dropped rows that the first stream found on time."""
+    dropped = sum(int(state.numRowsDroppedByWatermark) for progress in query.recentProgress for state in progress.stateOperators)
+    if dropped:
+        raise RuntimeError(f"{dropped} rows on time were dropped by the second stream's watermark")
 
 
 def start_plain_ingestion(

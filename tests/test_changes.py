@@ -54,7 +54,7 @@ def test_verdict(verdicts, name):
 
 def changes(spark, *rows):
     envelopes = spark.createDataFrame([(i, raw) for i, raw in enumerate(rows)], "arrival bigint, raw string")
-    return cdc.cdc_clean_rows(cdc.cdc_parse_clean(cdc.expand_key_moves(envelopes)), ("arrival",))
+    return cdc.cdc_clean_rows(cdc.cdc_parse_clean(envelopes, key_moves=True), ("arrival",))
 
 
 def test_source_time_and_extra_fields(spark):

@@ -62,11 +62,14 @@ def test_write_that_failed_before_its_commit(spark, root, monkeypatch):
             sink.upsert_lake(spark, root, update, "x-1", "arrival")
     assert pages(spark, root) == {("a", 11): "1"}
     files = lake.lake_files(spark, lake.data_path(root))
-    orphans = upkeep.find_orphan_files(files, lake.read_commits(spark, root))
-    assert {row["commit_id"] for row in orphans.collect()} == {"x-1"}
+    find = lambda: upkeep.find_orphan_files(lake.lake_files(spark, lake.data_path(root)), lake.read_commits(spark, root), "2999-01-01 00:00:00")
+    left = {row["commit_id"] for row in find().collect()}
+    assert len(left) == 1 and left.pop().startswith("x-1~")
+    assert upkeep.find_orphan_files(files, lake.read_commits(spark, root)).isEmpty()  # too young to be given up
     sink.upsert_lake(spark, root, update, "x-1", "arrival")
     assert pages(spark, root) == {("a", 11): "2", ("b", 11): "1"}
-    assert upkeep.find_orphan_files(lake.lake_files(spark, lake.data_path(root)), lake.read_commits(spark, root)).isEmpty()
+    upkeep.delete_files(find())
+    assert find().isEmpty() and pages(spark, root) == {("a", 11): "2", ("b", 11): "1"}
 
 
 def test_second_rewrite_of_the_same_day_is_refused(spark, root):

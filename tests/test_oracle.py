@@ -4,8 +4,10 @@ import __spark_entry__ as entry
 import pytest
 from check import connect, difference
 
+from sluicegate.checks import oracle, queries
+
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(queries.queries())
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +16,8 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(oracle.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

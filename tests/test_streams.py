@@ -47,7 +47,9 @@ def source(spark, root):
 
 def clean_and_dedup(spark, root, **options):
     stages.start_cleaning(source(spark, root), root, trigger=None, as_of=AS_OF, **options).awaitTermination()
-    stages.start_dedup(spark, root, trigger=None, max_files=1).awaitTermination()
+    query = stages.start_dedup(spark, root, trigger=None)
+    query.awaitTermination()
+    stages.check_nothing_dropped(query)
 
 
 def expected(spark, batches):

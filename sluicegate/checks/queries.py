@@ -291,7 +291,7 @@ def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = stage(_tagged(spark, sf_dir).drop("raw"), "tagged")
     routed = late.route_late_per_record(clean.clean_rows(tagged, ("arrival", "arrived_at")))
-    return _plain(quality.quality_monitor(quality.quality_status(tagged, routed, "arrived_at")))
+    return _plain(quality.quality_monitor(tagged, routed, "arrived_at"))
 
 
 def ahead_of_clock(spark: SparkSession, sf_dir: str) -> DataFrame:

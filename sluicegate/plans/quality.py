@@ -12,36 +12,30 @@ from sluicegate.plans.reports import hourly_event_count
 from sluicegate.schema import EVENT_COLUMNS
 
 
-def quality_status(tagged: DataFrame, routed: DataFrame, arrived_at: str, arrival: str = "arrival") -> DataFrame:
-    """One row per message: ``arrived_at``, ``status`` and ``reason``.
-
-    ``tagged`` supplies the dirty rows, ``routed`` the clean ones with their route. A clean row
-    is LATE, DUPLICATE (not the first on-time arrival of its key) or CLEAN.
+def quality_monitor(
+    tagged: DataFrame, routed: DataFrame, arrived_at: str, arrival: str = "arrival", bucket: str = "1 minute"
+) -> DataFrame:
+    """Messages per time bucket, status and reason.
+
+    ``tagged`` supplies the dirty rows, ``routed`` the clean ones with their route. A clean row is LATE, CLEAN (the first
+    on-time arrival of its key) or DUPLICATE. Repeats are only counted: rows on time less first ones, both from
+    aggregates, so no row is joined with another.
     """
-    dirty = tagged.where(F.col("verdict") == "DIRTY").select(
-        F.col(arrived_at).alias("arrived_at"), F.lit("DIRTY").alias("status"), "reason"
-    )
+    start = F.window(arrived_at, bucket)["start"].alias("bucket_start")
     nothing = F.lit(None).cast("string").alias("reason")
-    on_time = routed.where(F.col("route") != LATE)
-    late = routed.where(F.col("route") == LATE).select(
-        F.col(arrived_at).alias("arrived_at"), F.lit(LATE).alias("status"), nothing
-    )
-    # Numbering all rows of a key would put a hot key into one task; its first row is found with
-    # a rank limit instead and recognised by its arrival number.
-    first = dedup_first_seen(on_time, arrival).select(arrival, F.lit(True).alias("_first"))
-    kept = on_time.join(first, arrival, "left").select(
-        F.col(arrived_at).alias("arrived_at"),
-        F.when(F.col("_first"), "CLEAN").otherwise("DUPLICATE").alias("status"),
-        nothing,
-    )
-    return dirty.unionByName(late).unionByName(kept)
-
-
-def quality_monitor(status: DataFrame, bucket: str = "1 minute") -> DataFrame:
-    """Messages per time bucket, status and reason."""
+    dirty = tagged.where(F.col("verdict") == "DIRTY").groupBy(start, F.lit("DIRTY").alias("status"), "reason")
+    routes = routed.groupBy(start, F.when(F.col("route") == LATE, LATE).otherwise("ON_TIME").alias("status"))
+    routes = routes.agg(F.count(F.lit(1)).alias("cnt"))
+    first = dedup_first_seen(routed.where(F.col("route") != LATE), arrival).groupBy(start).agg(F.count(F.lit(1)).alias("cnt"))
+    # firsts count as themselves and against the rows on time of their bucket
+    repeats = routes.where(F.col("status") != LATE).select("bucket_start", "cnt").unionByName(first.select("bucket_start", (-F.col("cnt")).alias("cnt")))
+    duplicates = repeats.groupBy("bucket_start").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") > 0)
+    named = lambda df, status: df.select("bucket_start", F.lit(status).alias("status"), nothing, "cnt")
     return (
-        status.groupBy(F.window("arrived_at", bucket)["start"].alias("bucket_start"), "status", "reason")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+        dirty.agg(F.count(F.lit(1)).alias("cnt"))
+        .unionByName(named(routes.where(F.col("status") == LATE), LATE))
+        .unionByName(named(first, "CLEAN"))
+        .unionByName(named(duplicates, "DUPLICATE"))
         .orderBy("bucket_start", "status", "reason")
     )
 

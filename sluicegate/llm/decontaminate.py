@@ -275,6 +275,30 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_SQL_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least({WINDOW}, len(w)) AS n, w[i : i + least({WINDOW}, len(w)) - 1] AS g
+  FROM b, unnest(range(1, len(w) - least({WINDOW}, len(w)) + 2)) AS t(i) WHERE len(w) > 0
+),
+places AS (
+  SELECT doc_id, n, i, w[i : i + n - 1] AS g
+  FROM d, (SELECT DISTINCT n FROM windows) AS sizes, unnest(range(1, len(w) - n + 2)) AS t(i)
+),
+found AS (SELECT doc_id, i, n, item FROM places JOIN windows USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {COVERAGE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def brute_force(doc: str | None, items: list[tuple[str, str | None]], window: int = WINDOW) -> tuple[int, int, int, str]:
     """The same by comparing every window with every place, for tests."""
     split = words(doc)

@@ -26,4 +26,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_formatting": chat.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op9_decontaminate": decontaminate.OP9_SQL,
 }

@@ -103,3 +103,17 @@ def test_repeated_batch_replaces_its_folder(spark, events, root):
         tables.write_batch(events, root, 5)
     tables.write_batch(events, root, 6)
     assert spark.read.parquet(root).count() == 2
+
+
+def test_null_safe_operator_of_the_database():
+    text = jdbc.merge_statement("t_main", "t_stage", ("user_id", "device_id"), ("device_id",), null_safe="<=>")
+    assert text.endswith("WHERE t.device_id <=> s.device_id)")
+
+
+def test_jobs_say_what_they_need(spark, root):
+    from sluicegate.streaming import main
+
+    with pytest.raises(SystemExit, match="needs --topic"):
+        main.run(spark, main.parser().parse_args(["logs", "--root", root]))
+    with pytest.raises(SystemExit, match="needs --commit"):
+        main.run(spark, main.parser().parse_args(["compact", "--root", root]))

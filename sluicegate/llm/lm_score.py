@@ -128,18 +128,35 @@ def hot_pairs(rows: DataFrame, shared, hot: int) -> np.ndarray:
     return out
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.tobytes() for c in columns))
+def _packed(before: np.ndarray, word: np.ndarray, doc: np.ndarray, n: np.ndarray) -> bytes:
+    """Pairs with documents and occurrences: different values of each column once, and their places, compressed."""
+    order = np.lexsort((doc, word, before))
+    parts, sizes = [], []
+    for column in (before, word, doc):
+        different, place = np.unique(column[order], return_inverse=True)
+        parts += [different.astype("<i8" if column is doc else "<u8"), place.astype("<u2" if len(different) <= 65_536 else "<u4")]
+        sizes.append(len(different))
+    body = b"".join(p.tobytes() for p in [np.array(sizes, "<i8"), *parts, n[order].astype("<u4")])
+    return zstandard.ZstdCompressor(level=3).compress(body)
 
 
 def _unpacked(raw: bytes, count: int) -> tuple[np.ndarray, ...]:
-    """pair, first, second, document, occurrences."""
-    data, at, out = zstandard.ZstdDecompressor().decompress(raw), 0, []
-    for kind in ("<u8", "<u8", "<u8", "<i8", "<u4"):
-        size = np.dtype(kind).itemsize * count
-        out.append(np.frombuffer(data[at : at + size], kind))
-        at += size
-    return tuple(out)
+    """First word, second word, document, occurrences."""
+    data, at, out = zstandard.ZstdDecompressor().decompress(raw), 24, []
+
+    def take(kind: str, size: int) -> np.ndarray:
+        nonlocal at
+        begin, at = at, at + np.dtype(kind).itemsize * size
+        return np.frombuffer(data[begin:at], kind)
+
+    for kind, size in zip(("<u8", "<u8", "<i8"), np.frombuffer(data[:24], "<i8").tolist()):
+        different = take(kind, size)
+        out.append(different[take("<u2" if size <= 65_536 else "<u4", count)])
+    return *out, take("<u4", count)
+
+
+def _pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(before * BASE ^ word)
 
 
 def score_documents(
@@ -172,7 +189,7 @@ def score_documents(
             doc, before, word = _pairs(batch.column("_text").to_pylist())
             name = batch.column("_doc").to_numpy(zero_copy_only=False)
             doc = name[doc] if len(doc) else np.zeros(0, np.int64)
-            pair = mix(before * BASE ^ word)
+            pair = _pair_hash(before, word)
             order = np.lexsort((doc, pair))
             pair, doc, before, word = pair[order], doc[order], before[order], word[order]
             new = np.ones(len(pair), bool)
@@ -198,7 +215,7 @@ def score_documents(
                     k = rest[lo:hi]
                     out[0].append(b)
                     out[1].append(len(k))
-                    out[2].append(_packed(pair[k], before[k], word[k], doc[k].astype("<i8"), n[k].astype("<u4")))
+                    out[2].append(_packed(before[k], word[k], doc[k], n[k]))
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["bucket", "count", "body"])
 
     def meet(batch: pa.Table) -> pa.Table:
@@ -211,7 +228,8 @@ def score_documents(
             ids, total = _summed(ids, total)
             return _rows(ids, total, np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
         parts = [_unpacked(r, c) for r, c in zip(batch.column("body").to_pylist(), batch.column("count").to_pylist())]
-        pair, before, word, doc, n = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        before, word, doc, n = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        pair = _pair_hash(before, word)
         _, first, place = np.unique(pair, return_index=True, return_inverse=True)
         c = np.bincount(place, n).astype(np.int64)
         contexts, own = np.unique(before[first], return_inverse=True)

@@ -1,23 +1,31 @@
 """From raw documents to packed token windows: five stages, each written as Parquet and read by the next.
 
-All but the last stage return rows of the ``documents`` table. A stage that drops documents names the dropped ones by
-``doc_id``, nulls included; rows under one identifier go or stay together.
+All but the last stage return rows of the ``documents`` table. Every row goes or stays by itself, whatever its
+``doc_id``: identifiers may be null and repeat, and of rows that are alike in everything one stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm import decontaminate, exact_dedup, near_dedup, packing, quality
 from sluicegate.llm.common import staged, table
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    gone = dropped.select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+def _whole(docs: DataFrame) -> Column:
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(number, row): rows with numbers of their own, written before use so that they stay the same."""
+    return staged(spark, docs.select(F.monotonically_increasing_id().alias("number"), _whole(docs).alias("row")), "pipeline-rows")
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    return rows.join(gone, "number", "left_anti").select("row.*")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,19 +35,26 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest identifier."""
-    return _without(docs, exact_dedup.content_sort_dedup(docs).filter("NOT kept"))
+    """Of documents with equal texts, one: that with the largest identifier, then the largest number."""
+    rows = _numbered(spark, docs)
+    named = rows.select(F.struct("row.doc_id", "number").alias("doc_id"), F.col("row.text").alias("text"))
+    return _without(rows, exact_dedup.content_sort_dedup(named).filter("NOT kept").select("doc_id.number"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    found = near_dedup.near_duplicates(docs)
-    return _without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))))
+    """One document of each group of near duplicates: that with the smallest identifier (null only if all are), then the smallest number."""
+    rows = _numbered(spark, docs)
+    found = near_dedup.near_duplicates(rows.select("number", F.col("row.text").alias("text")), id_col="number")
+    alike = staged(spark, found.filter("class_size > 1").select("number", "class_id"), "pipeline-alike")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "number")
+    stay = alike.join(rows.select("number", "row.doc_id"), "number").groupBy("class_id").agg(F.min(order).alias("least")).select("least.number")
+    return _without(rows, alike.join(stay, "number", "left_anti").select("number"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
-    return _without(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated"))
+    rows = docs.select(_whole(docs).alias("row"), "text")
+    return decontaminate.decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="row").filter("NOT contaminated").select("doc_id.*")
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

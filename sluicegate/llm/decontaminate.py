@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyspark.sql.types as T
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -248,12 +249,10 @@ def decontaminate(
             )
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("_text"))
-    kind = rows.schema["_id"].dataType.simpleString()
-    found = rows.mapInArrow(
-        scan,
-        f"_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, "
-        "hit_spans array<array<bigint>>, clean_text string",
-    )
+    made = T.StructType([rows.schema["_id"]])
+    for name, kind in (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean")):
+        made.add(name, kind)
+    found = rows.mapInArrow(scan, made.add("hit_spans", T.ArrayType(T.ArrayType(T.LongType()))).add("clean_text", "string"))
     return found.withColumnRenamed("_id", "doc_id")
 
 

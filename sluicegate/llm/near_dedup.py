@@ -188,9 +188,12 @@ def multisets(docs: DataFrame, wanted: DataFrame, text: str, id_col: str) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(_keys(texts, doc, value, weight), pa.binary()), pa.array(bodies, pa.binary())], ["key", "body"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("_text"))
-    own = rows.join(wanted.select(F.col("rep").alias("_id")).distinct(), "_id", "left_semi")
-    # other texts under the same identifier drop out by their key
-    return own.select("_text").mapInArrow(run, "key binary, body binary").join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    own = rows.join(wanted.select(F.col("rep").alias("_id")).distinct(), "_id", "left_semi").select("_text")
+    # no identifier leads to nodes without one: all rows without are read, each body once per task before it moves
+    nameless = rows.filter("_id IS NULL").select("_text").mapInArrow(run, "key binary, body binary").dropDuplicates(["key"])
+    # other texts under the same identifier, or without one, drop out by their key
+    made = own.mapInArrow(run, "key binary, body binary").unionByName(nameless)
+    return made.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:

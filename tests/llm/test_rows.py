@@ -6,6 +6,8 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 
+from sluicegate.llm import near_dedup
+
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -42,3 +44,10 @@ def test_only_contaminated_rows_go(spark, small, bodies):
     item = max((r.text or "" for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()), key=len)
     rows = [(None, item), (None, bodies[0]), (7, item), (7, bodies[1]), (8, bodies[2]), (8, bodies[2])]
     assert left(corpus_pipeline.drop_contaminated, spark, rows, small) == Counter([rows[1], rows[3], rows[4], rows[5]])
+
+
+def test_changed_copies_without_identifiers_are_found(spark, bodies):
+    a, b, c, d, *_ = bodies
+    rows = [(None, a), (None, f"{a} new"), (None, b), (5, c), (None, f"{c} new"), (None, f"{c} new"), (6, d)]
+    found = Counter((r.doc_id, r.class_id, r.class_size) for r in near_dedup.near_duplicates(plain(spark, rows)).collect())
+    assert found == Counter([(None, None, 2)] * 2 + [(None, None, 1), (5, 5, 3), (None, 5, 3), (None, 5, 3), (6, 6, 1)])

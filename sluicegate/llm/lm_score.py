@@ -18,10 +18,11 @@ The counts are tables partitioned by hash and the documents' n-grams travel to t
 
 The number of buckets follows the number of words, ``BUCKET_WORDS`` for each.
 
-Nulls: a null text has no words; its score is 0 and its mean null, as for a text without words. Rows with equal
-identifiers, also null ones, are scored as one document, and each such row carries that score. An empty table gives
-no rows. Extra columns are left out and may have any names. Texts are scored whole. Identifiers that are not
-integers, and n-grams, are told apart by hashes of 64 bits.
+Nulls: a null text has no words; its score is 0 and its mean null, as for a text without words. With ``per_row``, as
+in the query, every row is a document and has the score of its own text, whatever its identifier; without, rows with
+equal identifiers, also null ones, are scored as one document, each such row carries that score, and identifiers that
+are not integers are told apart by hashes of 64 bits. An empty table gives no rows. Extra columns are left out and may
+have any names. Texts are scored whole. N-grams are told apart by hashes of 64 bits.
 """
 
 from __future__ import annotations
@@ -160,14 +161,21 @@ def _pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def score_documents(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", alpha: float = ALPHA, min_count: int = MIN_COUNT, top: int = TOP, hot: int = HOT, bucket_words: int = BUCKET_WORDS
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", alpha: float = ALPHA, min_count: int = MIN_COUNT, top: int = TOP, hot: int = HOT, bucket_words: int = BUCKET_WORDS, per_row: bool = False
 ) -> DataFrame:
-    """Per row: identifier, number of words, sum of logarithms, and their mean per word."""
+    """Per row: identifier, number of words, sum of logarithms, and their mean per word.
+
+    ``per_row`` scores each row by itself instead of the rows of an identifier together.
+    """
     spark = docs.sparkSession
     integral = isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     # null and text identifiers get a number by hash
     number = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63) + 1)) if integral else F.xxhash64(F.col(id_col))
-    rows = docs.select(number.alias("_doc"), F.col(text).cast("string").alias("_text"))
+    doc = F.monotonically_increasing_id() if per_row else number
+    named = docs.select(F.col(id_col).alias("_id"), doc.alias("_doc"), F.col(text).cast("string").alias("_text"))
+    if per_row:  # the numbers must stay the same however often the rows are read
+        named = staged(spark, named, "lm-rows")
+    rows = named.select("_doc", "_text")
     counts = staged(spark, word_counts(rows), "lm-words")
     common = common_words(counts, top, hot)
     buckets = max(1, math.ceil(common.total / bucket_words))
@@ -254,10 +262,9 @@ def score_documents(
             n = np.bincount(owner, minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_doc"), _signed(n)], ["_id", "_doc", "words"])
 
-    named = docs.select(F.col(id_col).alias("_id"), number.alias("_doc"), F.col(text).cast("string").alias("_text"))
     sizes = named.mapInArrow(length, T.StructType([named.schema["_id"], named.schema["_doc"], T.StructField("words", T.LongType())]))
     pooled = sizes.groupBy("_doc").agg(F.sum("words").alias("n_words")).join(sums, F.col("_doc") == F.col("doc"), "left").select("_doc", "n_words", "score")
-    ids = docs.select(F.col(id_col).alias("_id"), number.alias("_doc"))
+    ids = named.select("_id", "_doc")
     score = F.coalesce("score", F.lit(0.0))
     return ids.join(pooled, "_doc").select(
         F.col("_id").alias(id_col), "n_words", score.alias("log_score"), F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("per_word")
@@ -278,4 +285,4 @@ def _rows(ids: np.ndarray, total: np.ndarray, doc: np.ndarray, word: np.ndarray,
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(table(spark, sf_dir, "documents"))
+    return score_documents(table(spark, sf_dir, "documents"), per_row=True)

@@ -1,12 +1,14 @@
 """Null and repeated identifiers: every row counts by itself."""
 
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
-from sluicegate.llm import near_dedup
+from sluicegate.llm import lm_score, near_dedup
+from sluicegate.llm.decontaminate import words
 
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -51,3 +53,22 @@ def test_changed_copies_without_identifiers_are_found(spark, bodies):
     rows = [(None, a), (None, f"{a} new"), (None, b), (5, c), (None, f"{c} new"), (None, f"{c} new"), (6, d)]
     found = Counter((r.doc_id, r.class_id, r.class_size) for r in near_dedup.near_duplicates(plain(spark, rows)).collect())
     assert found == Counter([(None, None, 2)] * 2 + [(None, None, 1), (5, 5, 3), (None, 5, 3), (None, 5, 3), (6, 6, 1)])
+
+
+def test_each_row_has_the_score_of_its_text(spark, bodies):
+    a, b, *_ = bodies
+    rows = [(None, a), (None, f"{a} {a}"), (None, None), (1, b), (1, b), (2, a), (3, ""), (4, f"{a} {a}")]
+    named = lm_score.score_documents(plain(spark, rows).withColumn("doc_id", F.struct("doc_id", "text")), per_row=True).collect()
+    assert Counter((r.doc_id.doc_id, r.doc_id.text) for r in named) == Counter(rows)
+    scores = defaultdict(set)
+    for r in named:
+        assert r.n_words == len(words(r.doc_id.text)) and (r.per_word is None) == (r.n_words == 0)
+        scores[r.doc_id.text or ""].add(round(r.log_score, 6))
+    assert all(len(x) == 1 for x in scores.values()) and scores[""] == {0.0} and scores[a] != scores[f"{a} {a}"]
+
+
+def test_query_scores_rows_alone(spark, tmp_path, bodies):
+    rows = [(None, bodies[0]), (None, f"{bodies[1]} more"), (1, bodies[2]), (1, bodies[2])]
+    plain(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter((r.doc_id, r.n_words) for r in lm_score.op3_lm_score(spark, str(tmp_path)).collect())
+    assert got == Counter([(None, 100), (None, 101), (1, 100), (1, 100)])

@@ -12,7 +12,10 @@ Without ``weights`` the shares are those of the corpus and all queues end togeth
 lasts until some queue can no longer fill its share of a window; its rest goes into one window and the
 others share on. Windows are full but for the last one.
 
-Queues that own less than a token per window are joined to one. Within a queue, documents follow one another
+Sources that own less than a token per window are joined to one queue (so there are no more than ``length`` others).
+There, documents follow one another by their relative place in their own source, counted up to a point inside the
+document that a hash of the source picks; so each source stays at its share all along, as nearly as whole documents
+allow. Ids of these documents alone are shuffled. Within another queue, documents follow one another
 in the order of the tasks that encoded them. Nulls: a null text is empty (its end id is packed); a null
 source is a queue of its own. Repeated rows and equal identifiers are packed each. An empty table
 gives no pieces. Extra columns are left out and may have any names. Long documents are cut.
@@ -21,8 +24,11 @@ gives no pieces. Extra columns are left out and may have any names. Long documen
 from __future__ import annotations
 
 import zlib
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +40,8 @@ from sluicegate.llm.common import slices, staged, table, with_start
 from sluicegate.llm.tokenize import encoder
 
 LENGTH = 4096
-#: Queues at most; the smallest sources share the last one. Each takes at least a token of every window.
-QUEUES = 1024
+#: Rows that a task returns at once, at most.
+PIECES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -44,8 +50,8 @@ class Phase:
 
     first: int
     windows: int
-    takes: tuple[int, ...]  # cumulative over queues
-    done: tuple[int, ...]  # of each queue before this phase
+    takes: array[int]  # cumulative over queues
+    done: array[int]  # of each queue before this phase
 
     def upto(self, queue: int, k: int) -> int:
         """Tokens of all queues up to and with ``queue`` in the first ``k`` windows."""
@@ -84,7 +90,7 @@ def phases(totals: list[int], weights: list[float] | None, length: int) -> list[
                 take = _rounded([count * length * o / unit for o in owed], count * length, left)
             else:  # some queue has less than its share of one window: it ends here
                 count, take = 1, _rounded([min(length * o / unit, n) for o, n in zip(owed, left)], length, left)
-        out.append(Phase(window, count, tuple(int(x) for x in np.cumsum(take, dtype=object)), tuple(done)))
+        out.append(Phase(window, count, array("q", accumulate(take)), array("q", done)))
         window += count
         left = [n - t for n, t in zip(left, take)]
         done = [n + t for n, t in zip(done, take)]
@@ -97,11 +103,7 @@ def queues_of(totals: dict[str | None, int], weights: dict[str | None, float] |
     order = sorted(totals, key=lambda s: (-owned.get(s, 0), s is not None, s or ""))
     whole = sum(owned.get(s, 0) for s in order) or 1
     alone, rest = list(order), []
-    while len(alone) > 1 and (
-        len(alone) > QUEUES
-        or owned.get(alone[-1], 0) * length < whole
-        or rest and sum(owned.get(s, 0) for s in rest) * length < whole
-    ):
+    while len(alone) > 1 and (owned.get(alone[-1], 0) * length < whole or rest and sum(owned.get(s, 0) for s in rest) * length < whole):
         rest.append(alone.pop())
     return {s: i for i, s in enumerate(alone)} | {s: len(alone) for s in rest}
 
@@ -131,6 +133,17 @@ def cut(plan: list[Phase], queue: int, start: int, size: int, length: int) -> It
         raise AssertionError("tokens beyond the plan")
 
 
+def interleaved(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """(_s, _p, _i, _start): the place in a common queue of each document of some sources, by relative place in its source."""
+    sums = parts.groupBy("_source").agg(F.sum("_n").alias("_total")).select(F.col("_source").alias("_s"), "_total")
+    docs = parts.agg(F.sum("_docs")).first()[0]
+    # a point inside the document, so that sources of one document do not all come first
+    point = F.pmod(F.xxhash64("_source"), F.lit(1 << 20)) / F.lit(1 << 20)
+    order = F.floor((F.col("_start") + point * F.col("_size")) / F.col("_total") * docs)
+    placed = rows.join(sums, F.col("_source").eqNullSafe(F.col("_s"))).select("_s", F.col("_part").alias("_p"), F.col("_inside").alias("_i"), "_size", order.alias("_order"))
+    return with_start(placed, [], "_order", "_size", "_at").select("_s", "_p", "_i", F.col("_at").alias("_start"))
+
+
 def pack(
     docs: DataFrame,
     text: str = "text",
@@ -173,7 +186,8 @@ def pack(
     encoded = staged(
         spark, rows.mapInArrow(encode, f"_id {kind}, _source string, _part bigint, _inside bigint, _size bigint, tokens binary"), "packed-ids"
     )
-    parts = with_start(encoded.groupBy("_source", "_part").agg(F.sum("_size").alias("_n")), ["_source"], "_part", "_n", "_before")
+    own = encoded.groupBy("_source", "_part").agg(F.sum("_size").alias("_n"), F.count(F.lit(1)).alias("_docs"))
+    parts = with_start(own, ["_source"], "_part", "_n", "_before")
     parts = staged(spark, parts, "packed-parts")
     totals = {r["_source"]: int(r["n"]) for r in parts.groupBy("_source").agg(F.sum("_n").alias("n")).collect()}  # one row per source
     if weights is not None:
@@ -182,10 +196,8 @@ def pack(
             raise ValueError(f"sources without a weight of a token per window: {missing[:5]}")
     queue_of = queues_of(totals, weights, length)
     sizes = [0] * (max(queue_of.values(), default=-1) + 1)
-    begin = {}
-    for s in sorted(totals, key=lambda s: (s is not None, s or "")):
-        begin[s] = sizes[queue_of[s]]
-        sizes[queue_of[s]] += totals[s]
+    for s, k in queue_of.items():
+        sizes[k] += totals[s]
     shares = None
     if weights is not None:
         shares = [0.0] * len(sizes)
@@ -193,29 +205,50 @@ def pack(
             shares[queue_of[s]] += weights[s]
     plan = phases(sizes, shares, length)
 
+    def pieces(batch: pa.RecordBatch, out: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("_id").take(pa.array(out[0], pa.int64())),
+                *(pa.array(c, pa.int64()) for c in out[1:7]),
+                pa.array(out[7], pa.binary()),
+            ],
+            ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
+        )
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "tokens"):
             out: list[list] = [[] for _ in range(8)]
             rows = zip(*(batch.column(c).to_pylist() for c in ("_source", "_start", "_size", "tokens")))
             for i, (name, start, size, raw) in enumerate(rows):
                 ids = np.frombuffer(raw, "<u2").astype("<u4")
-                for at, n, window, offset in cut(plan, queue_of[name], begin[name] + start, size, length):
+                for at, n, window, offset in cut(plan, queue_of[name], start, size, length):
                     piece = ids[at : at + n].tobytes()
                     for column, value in zip(out, (i, at, n, zlib.crc32(piece), size, window, offset, piece)):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_id").take(pa.array(out[0], pa.int64())),
-                    *(pa.array(c, pa.int64()) for c in out[1:7]),
-                    pa.array(out[7], pa.binary()),
-                ],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
-            )
+                    if len(out[0]) >= PIECES:
+                        yield pieces(batch, out)
+                        out = [[] for _ in range(8)]
+            yield pieces(batch, out)
 
+    # sources that share a queue, by name
+    counts = Counter(queue_of.values())
+    joined = [(s, True) for s in totals if counts[queue_of[s]] > 1]
+    if joined:
+        names = spark.createDataFrame(joined, "_few string, _shared boolean")
+        parts = parts.join(names, F.col("_source").eqNullSafe(F.col("_few")), "left").withColumn("_shared", F.coalesce("_shared", F.lit(False)))
+    else:
+        parts = parts.withColumn("_shared", F.lit(False))
     placed = encoded.join(
-        parts.select(F.col("_source").alias("_s"), F.col("_part").alias("_p"), "_before"),
+        parts.select(F.col("_source").alias("_s"), F.col("_part").alias("_p"), "_before", "_shared"),
         F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")),
-    ).select("_id", "_source", (F.col("_before") + F.col("_inside")).alias("_start"), "_size", "tokens")
+    ).select("_id", "_source", "_part", "_inside", (F.col("_before") + F.col("_inside")).alias("_start"), "_size", "tokens", "_shared")
+    wanted = ["_id", "_source", "_start", "_size", "tokens"]
+    if joined:
+        few = placed.filter("_shared")
+        starts = staged(spark, interleaved(few, parts.filter("_shared")), "packed-few")
+        same = F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")) & (F.col("_inside") == F.col("_i"))
+        placed = placed.filter("NOT _shared").select(*wanted).unionByName(few.drop("_start").join(starts, same).select(*wanted))
+    placed = placed.select(*wanted)
     return placed.mapInArrow(
         deal,
         f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary",

@@ -7,7 +7,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from sluicegate.llm import lm_score, near_dedup
+from sluicegate.llm import lm_score, near_dedup, packing
 from sluicegate.llm.decontaminate import words
 
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
@@ -72,3 +72,28 @@ def test_query_scores_rows_alone(spark, tmp_path, bodies):
     plain(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     got = Counter((r.doc_id, r.n_words) for r in lm_score.op3_lm_score(spark, str(tmp_path)).collect())
     assert got == Counter([(None, 100), (None, 101), (1, 100), (1, 100)])
+
+
+def test_many_sources_have_queues_of_their_own():
+    totals = {f"s{i}": 4096 for i in range(2000)}
+    assert len(set(packing.queues_of(totals, None, 4096).values())) == 2000
+
+
+def test_sources_that_share_a_queue_are_mixed(spark):
+    """Small sources of many documents, and of one, spread over all windows."""
+    rnd = random.Random(8)
+    body = lambda n: " ".join(rnd.choice(["the", "of", "and", "to"]) for _ in range(n))
+    rows = [(i, body(200), "en", "big", 1) for i in range(150)]
+    rows += [(1000 + i, body(9), "en", f"small{i % 12}" if i % 12 else None, 1) for i in range(240)]
+    rows += [(2000 + i, body(9), "en", f"one{i}", 1) for i in range(60)]
+    pieces = packing.pack(spark.createDataFrame(rows, PLAIN).repartition(3), length=32).collect()
+    source = {r[0]: r[3] for r in rows}
+    windows = 1 + max(r.sequence_id for r in pieces)
+    place = defaultdict(list)
+    for r in pieces:
+        name = source[r.doc_id]
+        place["one" if name and name.startswith("one") else name] += [r.sequence_id / windows] * r.length
+    assert sum(r.length for r in pieces) == sum({r.doc_id: r.doc_tokens for r in pieces}.values())
+    for name, at in place.items():
+        for k in range(1, 4):
+            assert abs(sum(x < k / 4 for x in at) / len(at) - k / 4) < (0.25 if name == "one" else 0.12), (name, k)

@@ -7,7 +7,20 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.llm import binary_output, chat, decontaminate, exact_dedup, lm_score, near_dedup, packing, pii, quality, secrets
+from sluicegate.llm import (
+    binary_output,
+    chat,
+    decontaminate,
+    exact_dedup,
+    lm_score,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    repair,
+    secrets,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -20,6 +33,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_binary_output": binary_output.op10_binary_output,
+    "op12_conversation_repair": repair.op12_conversation_repair,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,4 +42,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_formatting": chat.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
+    "op12_conversation_repair": repair.OP12_SQL,
 }

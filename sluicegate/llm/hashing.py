@@ -29,11 +29,11 @@ _inverse = pow(int(BASE), -1, 1 << 64)
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of every word, in order."""
+def word_hashes(texts: list[str | None], fold: np.ndarray = _FOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document of every word, in order; ``fold`` gives for each byte what it counts as, 32 between words."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     begins = np.cumsum([0] + [len(r) + 1 for r in raw])
-    data = _FOLD[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
+    data = fold[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
     inside = data != 32
     edges = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)

@@ -12,6 +12,7 @@ from sluicegate.llm import (
     chat,
     decontaminate,
     exact_dedup,
+    group_join,
     lm_score,
     near_dedup,
     packing,
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_binary_output": binary_output.op10_binary_output,
+    "op11_group_join": group_join.op11_group_join,
     "op12_conversation_repair": repair.op12_conversation_repair,
     "op13_embedding_whitening": whitening.op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
@@ -42,5 +44,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_formatting": chat.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
+    "op11_group_join": group_join.OP11_SQL,
     "op12_conversation_repair": repair.OP12_SQL,
 }

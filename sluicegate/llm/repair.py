@@ -28,9 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import staged, table
+from sluicegate.llm.common import slices, staged, table
 
-BLOCK_ROWS, BLOCK_BYTES = 1024, 4 << 20
+BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 20
 WHITE = " \t\n\x0b\x0c\r"
 INFINITE = 1 << 60
 RESULTS = "gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string"
@@ -287,7 +287,7 @@ def _into_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Re
         out.append(row)
 
     fresh = True  # the first conversation of a partition may have begun in another
-    for batch in batches:
+    for batch in slices(batches, "text", BLOCK_BYTES):
         schema = _schema(batch, _BLOCKS)
         columns = [batch.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text", "h", "seen")]
         for conv, turn, role, text, h, seen in zip(*columns):

@@ -8,8 +8,8 @@ a tokens in common, the first |x| - a + l and |y| - a + l tokens share l. So the
 members' first tokens, l being one more than a 32nd of a set: a query meets a group only if at least l of its own first tokens
 are in that union, which bounds what it can share with any member. Tokens that only one node has never reach the matrix.
 
-A group that qualifies is opened from its hub. Members alike enough to the hub are its core, linked already: a query linked to
-the hub needs none of them. Distances 1 - J obey the triangle inequality, so members whose distance to the hub differs by
+A group that qualifies is opened from its centre. Members alike enough to the centre are its core, linked already: a query linked to
+the centre needs none of them. Distances 1 - J obey the triangle inequality, so members whose distance to the centre differs by
 more than 0.15 from the query's cannot be linked. What is left meets the query on first tokens, each with its place, which bounds
 the tokens still in common; then whole sets are compared. Components of all links are the classes. Nothing is estimated: min-hashes and
 the list of common tokens only decide who is compared first.
@@ -42,6 +42,8 @@ SHINGLE = 4
 SIMILARITY = 85
 MIN_HASHES = 8
 COMMON = 16
+#: Tokens that two linked sets share, at least, by the sum of their sizes.
+_LEAST = f"({SIMILARITY} * ({{}}) + {99 + SIMILARITY}) div {100 + SIMILARITY}"
 #: Tokens that a task counts at once.
 CHUNK = 4 << 20
 _BITS = 1 << 24
@@ -230,11 +232,12 @@ def grouped(nodes: DataFrame) -> DataFrame:
     """(node, hub): the hub that a node shares most min-hashes with, at least half of them, or the node itself."""
     filed = nodes.select("node", "size", F.posexplode("mins").alias("r", "v"))
     shared = filed.groupBy("r", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = staged(nodes.sparkSession, filed.join(shared, ["r", "v"]), "groups-buckets")
+    spark = nodes.sparkSession
+    members = staged(spark, filed.join(staged(spark, shared, "groups-shared"), ["r", "v"]), "groups-buckets")
     met = members.groupBy("node").agg(F.sum("n").alias("met"))
     hubs = members.join(met, "node").groupBy("r", "v").agg(F.max(F.struct("met", "node", "size")).alias("hub"))
     votes = (
-        members.join(hubs, ["r", "v"])
+        members.join(staged(spark, hubs, "groups-bucket-hubs"), ["r", "v"])
         .filter((F.col("node") != F.col("hub.node")) & comparable(F.col("size"), F.col("hub.size")))
         .groupBy("node", "hub")
         .agg(F.count(F.lit(1)).alias("votes"))
@@ -296,33 +299,40 @@ def group_join(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
     )
     queries = keep(queries.select("node", "group", "others"), "queries")
 
+    # the centre of a group is the member that meets most others early in the order of tokens
+    early = tokens.filter((F.col("members") > 1) & (F.col("size") - F.col("place") >= F.expr(_LEAST.format("size + size")))).select("token", "hub", "node")
+    met = early.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("met"))
+    score = early.join(keep(met, "met"), ["hub", "token"]).groupBy("hub", "node").agg(F.sum("met").alias("met"))
+    centres = keep(score.groupBy("hub").agg(F.max(F.struct("met", "node")).alias("best")).select("hub", F.col("best.node").alias("centre")), "centres")
+    several = sized.filter("members > 1").join(centres, "hub", "left").select("node", "hub", F.coalesce("centre", "hub").alias("centre"))
+    asking = queries.join(centres.withColumnRenamed("hub", "group"), "group", "left").select("node", "group", "others", F.coalesce("centre", "group").alias("centre"))
+
     # whole sets of everything that may be compared
-    several = sized.filter("members > 1").select("node", "hub")
-    named_nodes = several.select("node").union(several.select("hub")).union(queries.select("node")).union(queries.select("group"))
-    wanted = sized.join(named_nodes.distinct(), "node", "left_semi").select("node", "key", "rep")
+    compared = several.select("node").union(several.select("centre")).union(asking.select("node")).union(asking.select("centre"))
+    wanted = sized.join(compared.distinct(), "node", "left_semi").select("node", "key", "rep")
     bodies = keep(whole_sets(rows, wanted), "sets")
 
-    # from members and queries to hubs
-    own = several.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    asked = queries.select(F.col("node").alias("a"), F.col("group").alias("b"))
+    # from members and queries to centres
+    to_centre = several.filter("node != centre").select("node", "centre").union(asking.select("node", "centre")).distinct().toDF("a", "b")
     size_of = lambda name, as_: sized.select(F.col("node").alias(name), F.col("size").alias(as_))
-    to_hub = keep(
-        in_common(own.union(asked).distinct(), bodies).join(size_of("a", "m"), "a").join(size_of("b", "n"), "b").withColumn("link", linked(F.col("both"), F.col("m"), F.col("n"))),
-        "to-hub",
+    measured = keep(
+        in_common(to_centre, bodies).join(size_of("a", "m"), "a").join(size_of("b", "n"), "b").withColumn("link", linked(F.col("both"), F.col("m"), F.col("n"))),
+        "measured",
     )
-    links = to_hub.filter("link").select("a", "b")
+    links = measured.filter("link").select("a", "b")
 
-    # open groups: queries of others, and members that the hub is not linked to
+    # open groups: to queries of others, and to members that the centre is not linked to
     apart = (1 - F.col("both") / (F.col("m") + F.col("n") - F.col("both"))).alias("apart")
-    distance = to_hub.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("link").alias("core"), apart)
-    inside = several.join(distance, ["node", "hub"], "left").select(
+    distance = measured.select(F.col("a").alias("node"), F.col("b").alias("centre"), F.col("link").alias("core"), apart)
+    inside = several.join(distance, ["node", "centre"], "left").select(
         "node", "hub", F.coalesce("core", F.lit(True)).alias("core"), F.coalesce("apart", F.lit(0.0)).alias("apart")
     )
     loose = inside.filter("NOT core").groupBy("hub").agg(F.count(F.lit(1)).alias("loose"))
     opened = (
-        distance.join(queries.filter("others > 1").select("node", F.col("group").alias("hub")), ["node", "hub"], "left_semi")
-        .unionByName(inside.filter("NOT core").select("node", "hub", "core", "apart"))
-        .distinct()
+        asking.filter("others > 1")
+        .join(distance, ["node", "centre"])
+        .select("node", F.col("group").alias("hub"), "core", "apart")
+        .unionByName(inside.filter("NOT core"))
         .join(loose, "hub", "left")
         .filter("NOT core OR loose IS NOT NULL")
     )
@@ -331,17 +341,17 @@ def group_join(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
     query = opened.join(tokens.select("token", "node", "place", "size"), "node").select(
         "token", "hub", F.col("node").alias("a"), F.col("place").alias("pa"), F.col("size").alias("m"), F.col("core").alias("ca"), F.col("apart").alias("da")
     )
-    common_least = F.expr(f"({SIMILARITY} * (m + n) + {99 + SIMILARITY}) div {100 + SIMILARITY}")
+    least = F.expr(_LEAST.format("m + n"))
     near = (
         query.join(member, ["hub", "token"])
         .filter((F.col("a") != F.col("b")) & comparable(F.col("m"), F.col("n")) & ~(F.col("ca") & F.col("cb")))
-        .filter((F.col("m") - F.col("pa") >= common_least) & (F.col("n") - F.col("pb") >= common_least))
+        .filter((F.col("m") - F.col("pa") >= least) & (F.col("n") - F.col("pb") >= least))
         .filter(F.abs(F.col("da") - F.col("db")) <= 1 - SIMILARITY / 100 + 1e-9)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("m", "n").alias("_m"), F.greatest("m", "n").alias("_n"))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("m") + F.col("n")).alias("sum"))
         .distinct()
     )
-    sums = near.select("a", "b", (F.col("_m") + F.col("_n")).alias("sum"))
-    more = in_common(sums.select("a", "b"), bodies).join(sums, ["a", "b"]).filter(F.col("both") * 100 >= (F.col("sum") - F.col("both")) * SIMILARITY).select("a", "b")
+    near = keep(near, "near")
+    more = in_common(near.select("a", "b"), bodies).join(near, ["a", "b"]).filter(F.col("both") * 100 >= (F.col("sum") - F.col("both")) * SIMILARITY).select("a", "b")
 
     roots = components(links.unionByName(more))
     of_node = sized.select("node", "key", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

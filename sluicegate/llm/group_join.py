@@ -45,7 +45,7 @@ COMMON = 16
 #: Tokens that two linked sets share, at least, by the sum of their sizes.
 _LEAST = f"({SIMILARITY} * ({{}}) + {99 + SIMILARITY}) div {100 + SIMILARITY}"
 #: Tokens that a task counts at once.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 _BITS = 1 << 24
 _SLICE = 1 << 20
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256)], np.uint8)

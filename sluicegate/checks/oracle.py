@@ -232,6 +232,10 @@ def oracle_sql() -> dict[str, str]:
         + ", kept AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY arrival DESC) AS nth FROM named WHERE arrival % 3 <> 1) "
         + f"SELECT {_CDC_ROW}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt FROM kept WHERE nth = 1 AND op_type <> 'D'",
         "cdc_key_moves": _MOVES,
+        "cdc_first_seen_ttl": """
+SELECT event_id AS arrival, CASE event_id % 3 WHEN 0 THEN 'I' ELSE CASE WHEN (event_id // 3) % 5 = 0 THEN 'D' ELSE 'U' END END AS op_type,
+  'U' || ((event_id // 3) % 1000 + 100000) AS user_id
+FROM events WHERE event_id % 3 != 1""",
         "cdc_dirty_by_reason": _MOVES_DIRTY,
         "stream_cdc_to_lake": _CDC + f"SELECT {_CDC_ROW}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt FROM state",
         # event time, late rows, repeats
@@ -244,17 +248,23 @@ def oracle_sql() -> dict[str, str]:
         + ", count(*) AS late_cnt FROM late GROUP BY user_id, event_type, device_id, routed_time".replace("routed_time", "late.event_time"),
         "dedup_first_seen": _LATE + f"SELECT arrival, {_EVENT}, ext_json FROM main",
         "dedup_ttl": """
-WITH RECURSIVE e AS (SELECT event_type, date_trunc('millisecond', ts) AS seen, min(event_id) AS event_id FROM events GROUP BY ALL),
+WITH RECURSIVE r AS (
+  SELECT event_id, date_trunc('millisecond', ts) AS seen, CASE WHEN event_id % 3 = 0 THEN 'HOT' ELSE 'U' || (user_id % 20) END AS user_id,
+    CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END AS event_type,
+    CASE WHEN event_id % 3 != 0 AND event_id % 17 != 0 THEN 'DEV-' || (event_id % 2) END AS device_id,
+    CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2025-11-11' ELSE date_trunc('day', ts) END AS event_time FROM events
+),
+e AS (SELECT dense_rank() OVER (ORDER BY user_id, event_type, device_id, event_time) AS k, seen, min(event_id) AS event_id,
+    user_id, event_type, device_id FROM r GROUP BY user_id, event_type, device_id, event_time, seen),
 nxt AS (
-  SELECT *, min(seen) OVER (PARTITION BY event_type ORDER BY seen
-    RANGE BETWEEN INTERVAL 1 HOUR FOLLOWING AND UNBOUNDED FOLLOWING) AS next_seen FROM e
+  SELECT *, min(seen) OVER (PARTITION BY k ORDER BY seen RANGE BETWEEN INTERVAL 1 HOUR FOLLOWING AND UNBOUNDED FOLLOWING) AS next_seen FROM e
 ),
 chain AS (
-  SELECT event_type, min(seen) AS seen FROM e GROUP BY event_type
+  SELECT k, min(seen) AS seen FROM e GROUP BY k
   UNION ALL
-  SELECT nxt.event_type, nxt.next_seen FROM chain JOIN nxt USING (event_type, seen) WHERE nxt.next_seen IS NOT NULL
+  SELECT nxt.k, nxt.next_seen FROM chain JOIN nxt USING (k, seen) WHERE nxt.next_seen IS NOT NULL
 )
-SELECT e.event_id, e.event_type FROM chain JOIN e USING (event_type, seen)""",
+SELECT e.event_id, e.user_id, e.event_type, e.device_id FROM chain JOIN e USING (k, seen)""",
         "stream_late_dedup": _BY_QUARTER + f"SELECT {_EVENT}, ext_json FROM main",
         "stream_late": _BY_QUARTER + f"SELECT {_EVENT}, ext_json, late_ms, " + _TS.format("source_watermark") + " FROM late",
         # sinks

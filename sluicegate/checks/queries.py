@@ -190,9 +190,14 @@ def late_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five very hot keys: one per event type."""
-    events = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    return dedup.dedup_ttl(events, "ts", "event_id", key=("event_type",)).select("event_id", "event_type")
+    kept = dedup.dedup_ttl(fixtures.returning(_events(spark, sf_dir)), arrival="event_id")
+    return kept.select("event_id", "user_id", "event_type", "device_id")
+
+
+def cdc_first_seen_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second change of a key comes three quarters of an hour after the first, the third as long after that."""
+    seen = F.timestamp_seconds(F.unix_timestamp("op_ts") + F.col("arrival") % 3 * 2700)
+    return cdc.cdc_first_seen(_changes(spark, sf_dir).withColumn("seen_at", seen), arrived_at="seen_at").select("arrival", "op_type", "user_id")
 
 
 def _stream_rounds(spark: SparkSession, sf_dir: str, rounds: int = 4) -> str:
@@ -377,6 +382,7 @@ def queries() -> dict[str, Query]:
         "cdc_op_ts": lambda s, d: _plain(_changes(s, d).select("arrival", "op_ts")),
         "cdc_latest_state": lambda s, d: _plain(cdc.cdc_latest_state(_changes(s, d))),
         "cdc_first_seen": lambda s, d: _plain(cdc.cdc_first_seen(_changes(s, d))),
+        "cdc_first_seen_ttl": cdc_first_seen_ttl,
         "to_lake_row": lambda s, d: _plain(
             cdc.to_lake_row(cdc.cdc_latest_state(_changes(s, d)), F.lit(_LOADED).cast("timestamp")).select(*LAKE_COLUMNS)
         ),

@@ -90,6 +90,20 @@ def late_logs(events: DataFrame) -> DataFrame:
     )
 
 
+def returning(events: DataFrame) -> DataFrame:
+    """``event_id, arrived_at`` and the four key columns: a third of the rows are one key without a pause, others come back during a day."""
+    steady = _id() % 3 == 0
+    day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    return events.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("arrived_at"),
+        F.when(steady, F.lit("HOT")).otherwise(F.concat(F.lit("U"), (F.col("user_id") % 20).cast("string"))).alias("user_id"),
+        F.when(steady, F.lit("view")).otherwise(F.col("event_type")).alias("event_type"),
+        F.when(~steady & (_id() % 17 != 0), F.concat(F.lit("DEV-"), (_id() % 2).cast("string"))).alias("device_id"),
+        F.when(steady, F.lit(LATE_BASE).cast("timestamp")).otherwise(day).alias("event_time"),
+    )
+
+
 def cdc_envelopes(events: DataFrame) -> DataFrame:
     """``arrival, raw``: three changes per row ``r = event_id div 3``: create, update, then delete or update.
 

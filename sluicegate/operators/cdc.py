@@ -19,7 +19,7 @@ from sluicegate.functions.text import is_blank, strip, to_whole_number
 from sluicegate.functions.times import parse_event_time
 from sluicegate.operators import rules
 from sluicegate.operators.clean import verdict_columns
-from sluicegate.operators.dedup import dedup_first_seen
+from sluicegate.operators.dedup import dedup_first_seen, dedup_ttl
 from sluicegate.schema import CDC_COLUMNS, LAKE_COLUMNS
 
 BEFORE, AFTER = "before", "after"
@@ -157,9 +157,16 @@ def cdc_latest_state(
     return latest if keep_tombstones else latest.where(F.col("op_type") != "D")
 
 
-def cdc_first_seen(changes: DataFrame, arrival: str = "arrival") -> DataFrame:
-    """First change of every key whatever its kind; a delete stays as a row."""
-    return dedup_first_seen(changes, arrival)
+def cdc_first_seen(
+    changes: DataFrame, arrival: str = "arrival", arrived_at: str | None = None, ttl_ms: int = C.DEDUP_TTL_MS
+) -> DataFrame:
+    """First change of every key whatever its kind; a delete stays as a row.
+
+    With the time of arrival, keys are forgotten a period after the change that was kept, so one that returns later is kept again.
+    """
+    if arrived_at is None:
+        return dedup_first_seen(changes, arrival)
+    return dedup_ttl(changes, arrived_at, arrival, ttl_ms=ttl_ms)
 
 
 def to_lake_row(changes: DataFrame, etl_time: Column | None = None) -> DataFrame:

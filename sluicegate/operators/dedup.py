@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicegate.constants import DEDUP_KEY, DEDUP_TTL_MS
@@ -36,60 +33,74 @@ def dedup_ttl(
 
     Only kept rows start a new period, so the choice is a chain along each key. Few keys need
     it: where the last arrival comes less than one period after the first, the first row is all
-    that is kept. Of the others, repeats in the same millisecond fall away before the shuffle,
-    and since a row after a pause of one period is always kept, stretches between pauses are
-    independent. Stretches of steady repeats are walked in order, batch by batch, holding one
-    key and one number in memory.
+    that is kept. Of the others, repeats in the same millisecond fall away before the shuffle. Every instant is then
+    linked with its successor, the first instant of its key at least a period later, and the chains are marked by
+    pointer doubling: as many joins as twice the logarithm of the longest chain, whatever the number of repeats.
+    All of it is dealt out by key and time, so one steady key spreads over all tasks.
     """
     timed = events.withColumn("_at", F.unix_millis(arrived_at))
     spans = timed.groupBy(*key).agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
     # Written out first, so that joining with the usual handful of keys needs no shuffle of the events.
-    long_keys = stage(spans.where(F.col("_to") - F.col("_from") >= ttl_ms).select(*key), "long-keys")
-    order = ("_at", arrival)
-    short = dedup_first_seen(join_on(timed, long_keys, key, "left_anti"), order, key)
-    instants = dedup_first_seen(
-        join_on(timed, long_keys, key, "left_semi"), arrival, (*key, "_at")
-    ).withColumn("_period", F.call_function("div", F.col("_at"), F.lit(ttl_ms)))
-    placed = join_on(instants, _stretches(instants, key, ttl_ms), (*key, "_period"), "inner", "_stretch")
-    unit = (*key, "_stretch")
-    ordered = placed.repartition(*unit).sortWithinPartitions(*unit, "_at")
-    walked = ordered.mapInArrow(_walk(unit, ttl_ms), ordered.schema)
-    return short.select(*events.columns).unionByName(walked.select(*events.columns))
-
-
-def join_on(left: DataFrame, right: DataFrame, columns: tuple[str, ...], how: str, *added: str) -> DataFrame:
-    """Join on columns where null equals null, keeping the left side's columns and those named."""
-    same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in columns]
-    return left.alias("l").join(right.alias("r"), same, how).select("l.*", *added)
-
-
-def _stretches(instants: DataFrame, key: tuple[str, ...], ttl_ms: int) -> DataFrame:
-    """For each key and period the number of its stretch.
-
-    Works on one row per key and period of time, whatever the number of repeats. No pause of a
-    full period fits inside a period, so looking at their ends is exact.
+    numbered = spans.where(F.col("_to") - F.col("_from") >= ttl_ms).select(*key, F.monotonically_increasing_id().alias("_key"))
+    long_keys = stage(numbered, "long-keys")
+    short = dedup_first_seen(join_on(timed, long_keys, key, "left_anti"), ("_at", arrival), key)
+    of_long = join_on(timed, long_keys, key, "inner", "_key")
+    instants = stage(dedup_first_seen(of_long, arrival, ("_key", "_at")), "instants")
+    kept = chains(stage(successors(instants, ttl_ms), "successors"))
+    return short.select(*events.columns).unionByName(instants.join(kept, ["_key", "_at"]).select(*events.columns))
+
+
+def successors(instants: DataFrame, ttl_ms: int) -> DataFrame:
+    """``_key, _at, _next``: the first instant at least a period later; and rows with ``_first`` for instants after a pause.
+
+    Time is cut into periods. Each instant stands in its own period's unit and in the one before, and asks in the unit after its
+    own, so a unit holds two periods of a key, which have at most as many instants as milliseconds. Where it finds nothing
+    there, the next instant follows a pause of a period and begins a chain itself. The nearest instant before or after a row
+    is the last one met in time order, forwards or backwards, so a unit is passed once each way.
     """
-    periods = instants.groupBy(*key, "_period").agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
-    in_time = Window.partitionBy(*key).orderBy("_period")
-    pause = F.coalesce(F.col("_from") - F.lag("_to").over(in_time) >= ttl_ms, F.lit(False))
-    return periods.withColumn("_pause", pause.cast("bigint")).select(
-        *key, "_period", F.sum("_pause").over(in_time).alias("_stretch")
+    at = F.col("_at")
+    own = F.call_function("div", at, F.lit(ttl_ms)) - F.when((at < 0) & (at % ttl_ms != 0), 1).otherwise(0)
+    none = F.lit(None).cast("bigint")
+
+    def row(unit: Column, asks: int, time: Column, instant: Column) -> Column:
+        return F.struct(unit.alias("_unit"), F.lit(asks).alias("_asks"), time.alias("_time"), instant.alias("_instant"))
+
+    rows = F.array(row(own - 1, 0, at, at), row(own, 0, at, at), row(own + 1, 1, at + ttl_ms, none))
+    placed = instants.select("_key", at, own.alias("_own"), F.explode(rows).alias("_row")).select("_key", "_at", "_own", "_row.*")
+    unit = Window.partitionBy("_key", "_unit")
+    so_far = unit.orderBy(F.desc("_time"), "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = unit.orderBy("_time", "_asks").rowsBetween(Window.unboundedPreceding, -1)
+    met = placed.withColumns(
+        {"_next": F.last("_instant", ignorenulls=True).over(so_far), "_before": F.last("_instant", ignorenulls=True).over(earlier)}
     )
+    first = (F.col("_asks") == 0) & (F.col("_unit") < F.col("_own")) & F.coalesce(at - F.col("_before") >= ttl_ms, F.lit(True))
+    asked = (F.col("_asks") == 1) & F.col("_next").isNotNull()
+    return met.where(first | asked).select("_key", "_at", F.when(F.col("_asks") == 1, F.col("_next")).alias("_next"), first.alias("_first"))
 
 
-def _walk(key: tuple[str, ...], ttl_ms: int):
-    """Keep the rows of the chain out of batches sorted by key and time."""
+def chains(links: DataFrame) -> DataFrame:
+    """``_key, _at`` of all instants that successors lead to from the first ones.
+
+    The jumps of length 1, 2, 4, ... are joined from each other until none is left. Chains often run into one another,
+    so each table of jumps keeps only its starts that a jump of the length before leads to. Then the marked set grows from the
+    longest jump to the shortest.
+    """
+    first = links.where("_first").select("_key", "_at")
+    jumps = [stage(links.where("_next IS NOT NULL").select("_key", "_at", "_next"), "jumps")]
+    while not jumps[-1].isEmpty():
+        last = jumps[-1]
+        ends = last.select("_key", F.col("_next").alias("_at")).distinct().unionByName(first)
+        again = last.select("_key", F.col("_at").alias("_next"), F.col("_next").alias("_end"))
+        twice = last.join(ends.distinct(), ["_key", "_at"], "left_semi").join(again, ["_key", "_next"])
+        jumps.append(stage(twice.select("_key", "_at", F.col("_end").alias("_next")), "jumps"))
+    marked = first
+    for jump in reversed(jumps):
+        ahead = marked.join(jump, ["_key", "_at"]).select("_key", F.col("_next").alias("_at"))
+        marked = stage(marked.unionByName(ahead), "marked")
+    return marked.distinct()
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, kept_at = None, None
-        for batch in batches:
-            keys = zip(*(batch.column(name).to_pylist() for name in key))
-            kept = []
-            for row_key, at in zip(keys, batch.column("_at").to_pylist()):
-                keep = row_key != current or at - kept_at >= ttl_ms
-                if keep:
-                    current, kept_at = row_key, at
-                kept.append(keep)
-            yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return walk
+def join_on(left: DataFrame, right: DataFrame, columns: tuple[str, ...], how: str, *added: str) -> DataFrame:
+    """Join on columns where null equals null, keeping the left side's columns and those named."""
+    same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in columns]
+    return left.alias("l").join(right.alias("r"), same, how).select("l.*", *added)

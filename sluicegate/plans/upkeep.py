@@ -10,7 +10,7 @@ from sluicegate.functions.times import plus_ms
 from sluicegate.operators.cdc import latest_per_key
 from sluicegate.plans.reports import Clock, as_instant
 from sluicegate.schema import LAKE_COLUMNS
-from sluicegate.session import delete_path
+from sluicegate.sinks.files import delete_in_tasks
 from sluicegate.sinks.lake import commit
 from sluicegate.sources import lake
 
@@ -196,9 +196,5 @@ def find_orphan_files(files: DataFrame, commits: DataFrame, older_than: Clock =
 
 
 def delete_files(files: DataFrame) -> int:
-    """Delete the listed files, one after the other as they come to the driver. Run it only on a plan you have looked at.
-
-    Spark's own file systems are used, so any path that Spark reads can be deleted.
-    """
-    paths = files.select("file_path").toLocalIterator()
-    return sum(delete_path(files.sparkSession, row["file_path"]) for row in paths)
+    """Delete the listed files in tasks; how many were there. Run it only on a plan you have looked at."""
+    return delete_in_tasks(files)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluicegate.constants import DEDUP_KEY
-from sluicegate.operators import dedup, late
+from sluicegate.operators import cdc, dedup, late
 from sluicegate.plans import quality, reports
 
 BASE = dt.datetime(2025, 11, 11, tzinfo=dt.timezone.utc)
@@ -115,6 +115,30 @@ def test_ttl(spark, ttl_ms):
     assert {row["arrival"] for row in dedup.dedup_ttl(df, key=("user_id",), ttl_ms=ttl_ms).collect()} == kept
 
 
+def test_ttl_of_one_steady_key(spark):
+    """One key without a pause over many periods, before and after 1970, next to keys that return after one."""
+    start = dt.datetime(1969, 12, 31, tzinfo=dt.timezone.utc)
+    rows = [(i, "hot", start + dt.timedelta(seconds=37 * i)) for i in range(5000)]
+    rows += [(10_000 + i, f"u{i % 7}", start + dt.timedelta(seconds=i * 1200)) for i in range(140)]
+    want, last = set(), {}
+    for number, key, when in sorted(rows, key=lambda r: r[2]):
+        if key not in last or (when - last[key]).total_seconds() >= 3600:
+            last[key] = when
+            want.add(number)
+    df = spark.createDataFrame(rows, "arrival bigint, user_id string, arrived_at timestamp").repartition(5)
+    found = dedup.dedup_ttl(df, key=("user_id",))
+    assert {row["arrival"] for row in found.collect()} == want
+    assert "Arrow" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_change_that_returns_after_the_period(spark):
+    columns = "arrival bigint, user_id string, event_type string, device_id string, event_time timestamp, op_type string, seen timestamp"
+    rows = [(k, "u", "view", None, at(0), op, at(s)) for k, op, s in [(0, "I", 0), (1, "U", 3599), (2, "D", 3600), (3, "I", 7199)]]
+    df = spark.createDataFrame(rows, columns)
+    assert [r["op_type"] for r in cdc.cdc_first_seen(df).collect()] == ["I"]
+    assert sorted(r["arrival"] for r in cdc.cdc_first_seen(df, arrived_at="seen").collect()) == [0, 2]
+
+
 def test_event_time_falls_back_to_the_record_time(spark):
     df = spark.createDataFrame([(None, at(3)), (at(1), at(3))], "event_time timestamp, ts timestamp")
     start = int(BASE.timestamp() * 1000)

@@ -163,6 +163,16 @@ SELECT reason, count(*) AS dirty_cnt FROM (
 _CDC_ROW = _EVENT + ", ext_json, op_type, " + _TS.format("op_ts")
 _ENDED = "TIMESTAMP '2026-01-01 01:06:40'"
 
+#: Quarters of the log, every seventh event one later; the watermark is that of the quarters before.
+_ROUNDS = """
+, rounds AS (SELECT *, least(3, (arrival // 2) // (SELECT (max(event_id) + 4) // 4 FROM events) + CASE WHEN (arrival // 2) % 7 = 0 THEN 1 ELSE 0 END) AS r
+  FROM clean),
+marks AS (SELECT r, max(max(event_time)) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 5 SECOND AS wm
+  FROM rounds GROUP BY r),
+judged AS (SELECT rounds.*, CASE WHEN coalesce(event_time < wm, false) THEN 'LATE' ELSE 'ON_TIME' END AS route FROM rounds JOIN marks USING (r)),
+counted AS (SELECT *, row_number() OVER (PARTITION BY route, user_id, event_type, device_id, event_time ORDER BY r, arrival) AS nth FROM judged)
+"""
+
 _LATE_RATE = """
 SELECT (SELECT count(*) FROM main) AS main_cnt, (SELECT count(*) FROM late) AS late_cnt,
   ROUND(CAST((SELECT count(*) FROM late) AS DOUBLE) * 100.0 / NULLIF((SELECT count(*) FROM main), 0), 2) AS late_pct"""
@@ -318,12 +328,30 @@ every_row AS (
   SELECT arrived_at, CASE WHEN route = 'LATE' THEN 'LATE' WHEN nth = 1 THEN 'CLEAN' ELSE 'DUPLICATE' END, NULL FROM counted)
 SELECT strftime(date_trunc('minute', arrived_at), '%Y-%m-%d %H:%M:%S') AS bucket_start, status, reason, count(*) AS cnt
 FROM every_row GROUP BY ALL""",
+        "quality_monitor_live": _LOGS + _ROUNDS + """,
+every_row AS (
+  SELECT arrived_at, 'DIRTY' AS status, reason FROM tagged WHERE verdict = 'DIRTY' UNION ALL
+  SELECT arrived_at, CASE WHEN route = 'LATE' THEN 'LATE' WHEN nth = 1 THEN 'CLEAN' ELSE 'DUPLICATE' END, NULL FROM counted)
+SELECT strftime(date_trunc('minute', arrived_at), '%Y-%m-%d %H:%M:%S') AS bucket_start, status, reason, count(*) AS cnt
+FROM every_row GROUP BY ALL""",
+        "late_counter_live": _LOGS + _ROUNDS + "SELECT user_id, event_type, device_id, " + _TS.format("event_time")
+        + ", count(*) AS late_cnt FROM counted WHERE route = 'LATE' GROUP BY user_id, event_type, device_id, counted.event_time",
         "ahead_of_clock": _LATE + """
 SELECT strftime(date_trunc('minute', clock), '%Y-%m-%d %H:%M:%S') AS bucket_start, count(*) AS ahead_cnt,
   max(epoch_ms(event_time) - epoch_ms(clock)) AS max_ahead_ms
 FROM (SELECT *, TIMESTAMP '2025-11-11 00:00:00' + to_seconds(event_id - 7 + event_id % 10) AS clock FROM clean)
 WHERE event_time > clock GROUP BY ALL""",
         # upkeep
+        "compact_files": """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, 7 AS files_before, 2 AS files_after, 1 AS untouched, 2 * count(*) AS rows, CAST(2 * sum(event_id) AS BIGINT) AS ids
+FROM events GROUP BY 1""",
+        "remove_orphans": _LOGS + """
+, first AS (SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt FROM clean
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type, device_id, event_time ORDER BY arrival) = 1)
+SELECT dt, 1 AS removed, 0 AS left_over, count(*) AS rows FROM first GROUP BY dt""",
+        "expire_written_snapshots": """
+SELECT 'append' AS operation, CAST(count(DISTINCT event_id // 3) AS VARCHAR) AS added_records FROM events WHERE event_id % 7 < 2 GROUP BY event_id % 7""",
+        "lake_files_recorded": _LOGS + "SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt, 0 AS files, 0 AS bytes FROM clean GROUP BY 1",
         "files_per_partition": _FILES + """
 SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS total_files, ROUND(sum(file_size_in_bytes) / 1024.0 / 1024 / 1024, 6) AS total_gb,
   ROUND(min(file_size_in_bytes) / 1024.0 / 1024, 4) AS min_mb, ROUND(max(file_size_in_bytes) / 1024.0 / 1024, 4) AS max_mb,

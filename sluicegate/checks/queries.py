@@ -12,7 +12,7 @@ from sluicegate import fixtures
 from sluicegate.constants import KNOWN_FIELDS
 from sluicegate.fixtures import AS_OF
 from sluicegate.operators import cdc, clean, dedup, late
-from sluicegate.plans import quality, reports, upkeep
+from sluicegate.plans import compaction, quality, reports, upkeep
 from sluicegate.schema import EVENT_COLUMNS, LAKE_COLUMNS
 from sluicegate.session import work_dir
 from sluicegate.sinks import jdbc, tables
@@ -21,7 +21,7 @@ from sluicegate.sources import lake as lake_source
 from sluicegate.sources.logs import read_raw_files, without_empty
 from sluicegate.sources.tables import filter_partition, read_ods_table, stage
 from sluicegate.streaming import changes as change_stream
-from sluicegate.streaming import stages
+from sluicegate.streaming import live, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 _LOADED = "2026-01-01 00:00:00"
@@ -86,18 +86,25 @@ def _counted(df: DataFrame, column: str) -> DataFrame:
 # Sources
 
 
+def _streamed(spark: SparkSession, messages: DataFrame, name: str, rounds: int = 3) -> DataFrame:
+    """Messages as files of text, read as a stream in several runs from one checkpoint, a few files at a time, and what came of them."""
+    root = work_dir(spark, name)
+    for number in range(rounds):
+        part = messages.where(F.pmod(F.xxhash64("raw"), F.lit(rounds)) == number).select("raw")
+        part.write.mode("append").text(f"{root}/input")
+        lines = read_raw_files(spark, f"{root}/input", max_files_per_trigger=4)
+        writer = lambda rows, batch_id: tables.write_batch(rows, f"{root}/read", batch_id)
+        stages.start(lines, f"{root}/checkpoint", writer, trigger=None).awaitTermination()
+    return spark.read.parquet(f"{root}/read")
+
+
 def read_raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages written as lines of text and read back."""
-    path = work_dir(spark, "raw")
-    fixtures.raw_logs(_events(spark, sf_dir)).select("raw").write.text(path)
-    lines = read_raw_files(spark, path, streaming=False)
+    lines = _streamed(spark, fixtures.raw_logs(_events(spark, sf_dir)), "raw")
     return _counted(clean.clean_events(lines, AS_OF), "verdict")
 
 
 def read_cdc_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = work_dir(spark, "envelopes")
-    _envelopes(spark, sf_dir).select("raw").write.text(path)
-    tagged = cdc.cdc_parse_clean(without_empty(read_raw_files(spark, path, streaming=False)))
+    tagged = cdc.cdc_parse_clean(without_empty(_streamed(spark, _envelopes(spark, sf_dir), "envelopes")))
     return _counted(cdc.cdc_clean_rows(tagged), "op_type")
 
 
@@ -228,6 +235,35 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.read.parquet(f"{root}/late").select(*EVENT_COLUMNS, "late_ms", "source_watermark"))
 
 
+def _live_rounds(spark: SparkSession, sf_dir: str, rounds: int = 4) -> str:
+    """The log in quarters, every seventh event a quarter later than it should come, through all streams that keep live figures."""
+    root = work_dir(spark, "live")
+    events = _events(spark, sf_dir)
+    size = events.agg(F.expr(f"(max(event_id) + {rounds}) div {rounds}").alias("size")).first()["size"]
+    event_id = F.call_function("div", F.col("arrival"), F.lit(2))
+    delayed = F.call_function("div", event_id, F.lit(size)) + F.when(event_id % 7 == 0, 1).otherwise(0)
+    numbered = fixtures.raw_logs(events).withColumn("_round", F.least(delayed, F.lit(rounds - 1)))
+    order = {"arrived_at": "timestamp", "arrival": "bigint"}
+    for number in range(rounds):
+        numbered.where(F.col("_round") == number).drop("_round").write.parquet(f"{root}/input/part={number}")
+        source = spark.readStream.schema("arrival bigint, arrived_at timestamp, raw string, part int").parquet(f"{root}/input").drop("part")
+        stages.start_cleaning(source, root, arrival=tuple(order), trigger=None, quality=True, as_of=AS_OF).awaitTermination()
+        if number % 2:
+            stages.start_dedup(spark, root, arrival=order, trigger=None, keep_for="60 days", quality=True).awaitTermination()
+        if number != 1:
+            live.start_quality(spark, root, keep_for="60 days", trigger=None).awaitTermination()
+            live.start_late_counter(spark, root, keep_for="60 days", trigger=None).awaitTermination()
+    return root
+
+
+def quality_monitor_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(live.read_quality(spark, _live_rounds(spark, sf_dir)))
+
+
+def late_counter_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(live.read_late_counts(spark, _live_rounds(spark, sf_dir)))
+
+
 def _moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.cdc_parse_clean(fixtures.moving_envelopes(_events(spark, sf_dir)), key_moves=True)
 
@@ -290,6 +326,62 @@ def compact_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lake_state(spark, root)
 
 
+def _dated_files(spark: SparkSession, sf_dir: str) -> str:
+    """A dated table of six small files a day and a large one."""
+    path = work_dir(spark, "dated")
+    rows = _events(spark, sf_dir).select("event_id", F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"), F.to_date("ts").alias("dt"))
+    for number in range(6):
+        rows.where(F.col("event_id") % 6 == number).repartition("dt").write.mode("append").partitionBy("dt").parquet(path)
+    long_names = rows.withColumn("user_id", F.concat("user_id", *(F.sha2(F.concat(F.col("event_id").cast("string"), F.lit(str(k))), 512) for k in range(2))))
+    long_names.repartition("dt").write.mode("append").partitionBy("dt").parquet(path)
+    return path
+
+
+def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a day before and after, those left alone, and what its rows add up to after."""
+    path = _dated_files(spark, sf_dir)
+    largest = lake_source.lake_files(spark, path).groupBy("dt").agg(F.max("file_size_in_bytes").alias("size"))
+    report = compaction.compact_files(spark, path, "compact-0", target_bytes=largest.agg(F.min("size")).first()[0])
+    rows = spark.read.parquet(path).groupBy("dt").agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"))
+    return _plain(report.join(rows, "dt").select("dt", "files_before", "files_after", "untouched", "rows", "ids"))
+
+
+def remove_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A write that never came to its commit leaves a file a day; they are found, deleted in tasks, and the table stays."""
+    root = _lake_of_logs(spark, sf_dir)
+    stored = lake_source.read_stored(spark, root).withColumn("commit_id", F.lit("load-1~failed"))
+    stored.repartition("dt").write.mode("append").partitionBy("dt", "commit_id").parquet(lake_source.data_path(root))
+    files = lambda: lake_source.lake_files(spark, lake_source.data_path(root))
+    found = stage(upkeep.find_orphan_files(files(), lake_source.read_commits(spark, root), "2999-01-01 00:00:00"), "orphans")
+    upkeep.delete_files(found)
+    left = stage(upkeep.find_orphan_files(files(), lake_source.read_commits(spark, root), "2999-01-01 00:00:00"), "left")
+    per_day = lambda df, name: df.groupBy("dt").agg(F.count(F.lit(1)).alias(name))
+    days = per_day(found, "removed").join(per_day(left, "left_over"), "dt", "left").join(per_day(lake_source.read_lake(spark, root), "rows"), "dt")
+    return _plain(days.select("dt", "removed", F.coalesce("left_over", F.lit(0)).alias("left_over"), "rows"))
+
+
+def expire_written_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of seven commits the newest five are kept."""
+    root = work_dir(spark, "snapshots")
+    changes = stage(_changes(spark, sf_dir), "changes")
+    for step in range(7):
+        lake_sink.append_changes(spark, root, changes.where(F.col("arrival") % 7 == step), f"cdc-{step}", "arrival")
+    snapshots = lake_source.lake_snapshots(lake_source.read_commits(spark, root))
+    expired = upkeep.expire_snapshots(snapshots, older_than="2999-01-01 00:00:00")
+    return expired.select("operation", F.col("summary")["added-records"].alias("added_records"))
+
+
+def lake_files_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and bytes listed for a day, less what its commit counted when it wrote them."""
+    root = _lake_of_logs(spark, sf_dir)
+    listed = lake_source.lake_files(spark, lake_source.data_path(root)).groupBy("dt").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("file_size_in_bytes").alias("bytes")
+    )
+    number = lambda name: F.col("summary")[name].cast("bigint")
+    counted = lake_source.read_commits(spark, root).select("dt", number("added-data-files").alias("n"), number("added-files-size").alias("b"))
+    return _plain(listed.join(counted, "dt", "full_outer").select("dt", (F.col("files") - F.col("n")).alias("files"), (F.col("bytes") - F.col("b")).alias("bytes")))
+
+
 # Reports and upkeep
 
 
@@ -427,6 +519,8 @@ def queries() -> dict[str, Query]:
         "late_backfill": lambda s, d: quality.backfilled_hourly_count(*_main_and_late(s, d)),
         "late_dirty_cross": late_dirty_cross,
         "quality_monitor": quality_monitor,
+        "quality_monitor_live": quality_monitor_live,
+        "late_counter_live": late_counter_live,
         "ahead_of_clock": ahead_of_clock,
         "files_per_partition": files_per_partition,
         "partition_distribution": lambda s, d: _plain(upkeep.partition_distribution(_dated(s, d))),
@@ -435,4 +529,8 @@ def queries() -> dict[str, Query]:
         "expire_snapshots": expire_snapshots,
         "recent_snapshots": recent_snapshots,
         "find_orphan_files": find_orphan_files,
+        "compact_files": compact_files,
+        "remove_orphans": remove_orphans,
+        "expire_written_snapshots": expire_written_snapshots,
+        "lake_files_recorded": lake_files_recorded,
     }

@@ -23,6 +23,8 @@ from sluicegate.schema import EVENT, nullable
 from sluicegate.session import use_state_backend
 from sluicegate.sinks.jdbc import late_table_rows, main_table_rows
 from sluicegate.sinks.tables import write_batch, write_dirty
+from sluicegate.streaming import live
+from sluicegate.streaming.jobs import observe_quality
 from sluicegate.streaming.marks import query_id, read_mark, read_position, write_mark, write_position
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -38,9 +40,10 @@ def start(
     each_batch: BatchWriter,
     trigger: str | None = JDBC_BATCH_INTERVAL,
     name: str | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Start a stream; without a trigger interval it reads what is there and ends."""
-    writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(each_batch).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
@@ -52,6 +55,7 @@ def route_batch(
     write_late: BatchWriter,
     arrival: str | tuple[str, ...] = "arrival",
     delay_ms: int = WATERMARK_DELAY_MS,
+    quality: bool = False,
 ) -> BatchWriter:
     """Batch function of the first stream: dirty, late and on-time rows to their tables, then the mark.
 
@@ -76,6 +80,8 @@ def route_batch(
             write_late(late_table_rows(late_rows(routed)), batch_id)
             on_time = dedup_first_seen(on_time_rows(routed), order).drop("watermark")
             write_batch(on_time, f"{root}/on_time", batch_id, rebalance=False, whole=True)
+            if quality:
+                write_batch(live.status_feed(tagged, routed), f"{root}/status", batch_id, rebalance=False, whole=True)
             newest = clean.agg(F.max("event_time").alias("newest")).first()["newest"]
             known = [time for time in (greatest, newest) if time is not None]
             write_mark(spark, f"{root}/marks", batch_id, max(known, default=None), owner)
@@ -92,17 +98,23 @@ def start_cleaning(
     arrival: str | tuple[str, ...] = "arrival",
     trigger: str | None = JDBC_BATCH_INTERVAL,
     delay_ms: int = WATERMARK_DELAY_MS,
+    quality: bool = False,
     **clean_options,
 ) -> StreamingQuery:
     """First stream: clean, split off dirty and late rows, append rows on time below ``root``.
 
     The rules run in the streaming plan, where the clock is the trigger's and a repeated batch
-    gives the same verdicts.
+    gives the same verdicts. With ``quality`` it observes its counters and feeds :func:`~sluicegate.streaming.live.start_quality`,
+    for which ``arrival`` has to name ``arrived_at``.
     """
     late_writer = write_late or parquet_writer(f"{root}/late")
     tagged = clean_events(logs, **clean_options)
     return start(
-        tagged, f"{root}/checkpoints/clean", route_batch(root, late_writer, arrival, delay_ms), trigger, "clean"
+        observe_quality(tagged) if quality else tagged,
+        f"{root}/checkpoints/clean",
+        route_batch(root, late_writer, arrival, delay_ms, quality),
+        trigger,
+        "clean",
     )
 
 
@@ -141,6 +153,7 @@ def start_dedup(
     trigger: str | None = JDBC_BATCH_INTERVAL,
     keep_for: str = "1 hour",
     archive: str | None = None,
+    quality: bool = False,
 ) -> StreamingQuery:
     """Second stream: rows on time, once each, to the main table.
 
@@ -164,6 +177,8 @@ def start_dedup(
                 recent = stored.parquet(f"{root}/on_time").where(F.col("batch_id") >= (-1 if start_at is None else start_at))
                 rows = dedup_first_seen(join_on(recent, new.select(*DEDUP_KEY), DEDUP_KEY, "left_semi"), ("batch_id", *order))
             writer(main_table_rows(rows), batch_id)
+            if quality:
+                write_batch(live.kept_feed(rows), f"{root}/kept", batch_id, rebalance=False, whole=True)
             write_position(session, f"{root}/positions", batch_id, start_at if high is None else high)
         finally:
             new.unpersist()

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import discard, slices, staged, table, with_start
-from sluicegate.llm.tokenize import encoder
+from sluicegate.llm.tokenize import encoder, narrow
 from sluicegate.session import work_dir
 
 MAGIC = b"SGT1"
@@ -98,18 +98,18 @@ def _put(folder: str, name: str, raw: bytes) -> None:
     files.move(attempt, f"{root}/{name}")
 
 
-def tokens_of(docs: DataFrame, text: str, id_col: str, tokenizer: str, folder: str | None) -> DataFrame:
-    """(_id, _crc, tokens): ids as unsigned 16-bit integers; both vocabularies are below 65,536."""
+def tokens_of(docs: DataFrame, text: str, id_col: str, tokenizer: str, folder: str | None, special_as_text: bool = False) -> DataFrame:
+    """(_id, _crc, tokens): ids as unsigned 16-bit integers; a larger vocabulary is refused."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer, folder)
+        coder = encoder(tokenizer, folder, special_as_text)
         for batch in slices(batches, "_text"):
-            wide = [coder.encode(body) for body in batch.column("_text").to_pylist()]
+            wide = coder.encode_all(batch.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
                     pa.array([zlib.crc32(w) for w in wide], pa.int64()),
-                    pa.array([np.frombuffer(w, "<u4").astype("<u2").tobytes() for w in wide], pa.binary()),
+                    pa.array([narrow(w, coder.vocabulary).tobytes() for w in wide], pa.binary()),
                 ],
                 ["_id", "_crc", "tokens"],
             )
@@ -124,8 +124,7 @@ def frequency_ranks(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(raw, "<u2"), minlength=vocabulary)
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u2"), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["token", "n"])
 
@@ -145,11 +144,12 @@ def write_shards(
     tokenizers: str | None = None,
     vocabulary: int = VOCABULARY,
     shard_tokens: int = SHARD_TOKENS,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Write all documents to ``folder``; returns one row per shard: part, shard, name, ids in it."""
     spark = docs.sparkSession
     path = work_dir(spark, "token-ids")
-    tokens = staged(spark, tokens_of(docs, text, id_col, tokenizer, tokenizers), "token-ids", path)
+    tokens = staged(spark, tokens_of(docs, text, id_col, tokenizer, tokenizers, special_as_text), "token-ids", path)
     by_rank = frequency_ranks(tokens, vocabulary)
     rank_of = np.empty(vocabulary, np.uint32)
     rank_of[by_rank] = np.arange(vocabulary, dtype=np.uint32)

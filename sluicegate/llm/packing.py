@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import slices, staged, table, with_start
-from sluicegate.llm.tokenize import encoder
+from sluicegate.llm.tokenize import encoder, narrow
 
 LENGTH = 4096
 #: Rows that a task returns at once, at most.
@@ -153,6 +153,7 @@ def pack(
     weights: dict[str | None, float] | None = None,
     tokenizer: str = "word_bpe_49k.json",
     tokenizers: str | None = None,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Pieces of documents: where each lies in its document, its ids and their checksum, its window and place there.
 
@@ -162,9 +163,9 @@ def pack(
     spark = docs.sparkSession
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, used = encoder(tokenizer, tokenizers), TaskContext.get().partitionId(), {}
+        coder, part, used = encoder(tokenizer, tokenizers, special_as_text), TaskContext.get().partitionId(), {}
         for batch in slices(batches, "_text"):
-            tokens = [np.frombuffer(coder.encode(body), "<u4").astype("<u2") for body in batch.column("_text").to_pylist()]
+            tokens = [narrow(ids, coder.vocabulary) for ids in coder.encode_all(batch.column("_text").to_pylist())]
             starts = []
             for queue, ids in zip(batch.column("_source").to_pylist(), tokens):
                 starts.append(used.get(queue, 0))

@@ -2,8 +2,10 @@
 
 Both tokenizers used here cut a text at white space before anything else, so a text's ids are
 those of its pieces one after the other: each piece is a run of other characters, for the byte-level
-one with the single blank before it, or a run of white space. The library encodes each different piece
-once per Python worker; the rest is table lookup.
+one with the single blank before it, or a run of white space. The pieces of a slice of texts that are new are encoded
+together, put apart by a special token, which the library never joins with anything; the rest is table lookup. A text with the
+string of a special token is encoded by the library as a whole, so that the string gives that token, or, with
+``special_as_text``, like any other text.
 """
 
 from __future__ import annotations
@@ -12,65 +14,123 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 #: What both tokenizers take for white space.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUN = re.compile(f"[{_SPACE}]{{2}}")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")  # str.split takes them for white space, the tokenizers don't
 _WITH_BLANK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_SPACED = re.compile(f"[{_SPACE}\\x1c-\\x1f]")
 _WITHOUT = re.compile(f"[^{_SPACE}]+")
-#: Pieces that one worker remembers, and the longest of them.
-REMEMBERED = 1_100_000
+#: Pieces that one worker remembers, about, and the longest of them.
+REMEMBERED = 1_000_000
 _LONGEST = 48
+#: Pieces joined to one text.
+_TOGETHER = 500
 END_ID = 2
 _END = array("I", [END_ID]).tobytes()
 
 
-class _Memory(dict):
-    """Ids of pieces; a new one is encoded when it is looked up."""
-
-    def __init__(self, tokenizer, blank: str) -> None:
-        self.encode, self.blank = tokenizer.encode_batch_fast, blank
-
-    def __missing__(self, piece: str) -> bytes:
-        whole = piece if piece[:1] == "\n" else self.blank + piece
-        ids = array("I", self.encode([whole], add_special_tokens=False)[0].ids).tobytes()
-        if len(self) < REMEMBERED and len(piece) <= _LONGEST:
-            self[piece] = ids
-        return ids
-
-
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, ``END_ID`` last."""
 
-    def __init__(self, name: str, folder: str | None = None) -> None:
+    def __init__(self, name: str, folder: str | None = None, special_as_text: bool = False) -> None:
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(os.path.join(folder, name) if folder else public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special_as_text = special_as_text
+        specials = {token.content: number for number, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = re.compile("|".join(map(re.escape, specials)))
+        self.apart, self.apart_id = max(specials.items(), key=lambda item: item[1])
+        self.vocabulary = max(self.tokenizer.get_vocab_size(), 1 + max(specials.values()))
         self.byte_level = name.startswith("byte")
-        self.plain = _Memory(self.tokenizer, "")
-        self.after_blank = _Memory(self.tokenizer, " ")
+        self.line_id = self.tokenizer.encode("\n", add_special_tokens=False).ids[0] if self.byte_level else None
+        self.plain: dict[str, bytes] = {}
+        self.after_blank: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as bytes; a null text is empty."""
-        text = text or ""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text; new pieces are gathered over all of them."""
+        if len(self.plain) + len(self.after_blank) > REMEMBERED:
+            self.plain.clear()
+            self.after_blank.clear()
+        cut = [self._pieces(text or "") for text in texts]
+        first, rest = set(), set()
+        for whole, plain, others in cut:
+            if whole is None:
+                first.update(plain)
+                rest.update(others)
+        long = self._learn(self.plain, "", first) | self._learn(self.after_blank, " ", rest)
+        one, other = self.plain.__getitem__, self.after_blank.__getitem__
+        out = [whole if whole is not None else b"".join(map(one, plain)) + b"".join(map(other, others)) + _END for whole, plain, others in cut]
+        for piece in long:
+            self.plain.pop(piece, None)
+            self.after_blank.pop(piece, None)
+        return out
+
+    def _pieces(self, text: str) -> tuple[bytes | None, list[str], list[str]]:
+        """Ids of the whole text where it has to be encoded at once, else pieces as they are and pieces after a blank."""
+        if self.special.search(text):
+            self.tokenizer.encode_special_tokens = self.special_as_text
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() + _END, [], []
         if not self.byte_level:
-            pieces = _WITHOUT.findall(text) if _SEPARATORS.search(text) else text.split()
-            return b"".join(map(self.plain.__getitem__, pieces)) + _END
+            return None, _WITHOUT.findall(text) if _SEPARATORS.search(text) else text.split(), []
         if _RUN.search(text):
-            return b"".join(map(self.plain.__getitem__, _WITH_BLANK.findall(text))) + _END
+            return None, _WITH_BLANK.findall(text), []
         first, *pieces = text.replace("\n", " \n").split(" ")  # a piece has its blank, or the line's end, before it
-        return (self.plain[first] if first else b"") + b"".join(map(self.after_blank.__getitem__, pieces)) + _END
-
-
-_encoders: dict[tuple[str, str | None], Encoder] = {}
-
-
-def encoder(name: str, folder: str | None = None) -> Encoder:
+        return None, [first] if first else [], pieces
+
+    def _learn(self, known: dict[str, bytes], blank: str, pieces: set[str]) -> set[str]:
+        """Add the ids of new pieces; returns those too long to be kept."""
+        new = [piece for piece in pieces if piece not in known]
+        self.tokenizer.encode_special_tokens = False
+        if self.line_id is None:
+            self._encode(known, new, blank, self.apart, self.apart_id)
+        else:  # the line's end is a token of its own next to pieces without white space, and quicker than a special token
+            spaced = [piece for piece in new if not piece or _SPACED.search(piece)]
+            self._encode(known, [piece for piece in spaced if piece[:1] == "\n"], "", self.apart, self.apart_id)
+            self._encode(known, [piece for piece in spaced if piece[:1] != "\n"], blank, self.apart, self.apart_id)
+            if spaced:
+                apart = set(spaced)
+                self._encode(known, [piece for piece in new if piece not in apart], blank, "\n", self.line_id)
+            else:
+                self._encode(known, new, blank, "\n", self.line_id)
+        return {piece for piece in new if len(piece) > _LONGEST}
+
+    def _encode(self, known: dict[str, bytes], new: list[str], blank: str, apart: str, apart_id: int) -> None:
+        joined = [blank + (apart + blank).join(new[a : a + _TOGETHER]) for a in range(0, len(new), _TOGETHER)]
+        ids: list[bytes] = []
+        for a in range(0, len(joined), 64):
+            for encoded in self.tokenizer.encode_batch_fast(joined[a : a + 64], add_special_tokens=False):
+                values = np.array(encoded.ids, np.uint32)
+                cuts = [-1, *np.flatnonzero(values == apart_id).tolist(), len(values)]
+                raw = values.astype("<u4").tobytes()
+                ids += [raw[4 * i + 4 : 4 * j] for i, j in zip(cuts, cuts[1:])]
+        if len(ids) != len(new):
+            raise AssertionError("a piece holds what puts pieces apart")
+        known.update(zip(new, ids))
+
+
+_encoders: dict[tuple[str, str | None, bool], Encoder] = {}
+
+
+def encoder(name: str, folder: str | None = None, special_as_text: bool = False) -> Encoder:
     """This Python worker's encoder; its memory of pieces outlives a task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses every core
-    if (name, folder) not in _encoders:
+    key = (name, folder, special_as_text)
+    if key not in _encoders:
         _encoders.clear()
-        _encoders[name, folder] = Encoder(name, folder)
-    return _encoders[name, folder]
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
+
+
+def narrow(ids: bytes, vocabulary: int) -> np.ndarray:
+    """Ids as unsigned 16-bit numbers; a vocabulary that needs more is refused."""
+    if vocabulary > 1 << 16:
+        raise ValueError(f"ids of a vocabulary of {vocabulary} do not fit into 16 bits")
+    return np.frombuffer(ids, "<u4").astype("<u2")

@@ -26,6 +26,42 @@ def test_pieces_give_the_ids_of_the_whole_text(name):
         assert np.frombuffer(encoder(name).encode(text), "<u4").tolist() == whole(name, text), repr(text)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_slices_and_special_tokens(name):
+    """Texts encoded together give what each gives alone; strings of special tokens are those tokens, or text where asked for."""
+    rnd = random.Random(3)
+    bits = [" ", " ", "\n", "a", "bc", "\t", "x" * 60, "<|endoftext|>", "<|startoftext|>", "<|end", "\x85", "1", "é", "\n\n"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 25))) for _ in range(3000)] + [None]
+    coder = encoder(name)
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in coder.encode_all(texts)]
+    coder.tokenizer.encode_special_tokens = False
+    assert got == [whole(name, t) for t in texts]
+    assert all(len(p) <= 48 for p in [*coder.plain, *coder.after_blank])
+    as_text = encoder(name, None, True)
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in as_text.encode_all(texts)]
+    as_text.tokenizer.encode_special_tokens = True
+    assert got == [[*as_text.tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_memory_is_bounded(monkeypatch):
+    from sluicegate.llm import tokenize
+
+    monkeypatch.setattr(tokenize, "REMEMBERED", 50)
+    coder = tokenize.Encoder("byte_bpe_50k.json")
+    for k in range(20):
+        text = " ".join(f"w{k}x{i}" for i in range(30))
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == whole("byte_bpe_50k.json", text)
+        assert len(coder.plain) + len(coder.after_blank) <= 80
+
+
+def test_large_vocabularies_are_refused():
+    from sluicegate.llm.tokenize import narrow
+
+    assert narrow(b"\x01\0\0\0", 1 << 16).tolist() == [1]
+    with pytest.raises(ValueError, match="16 bits"):
+        narrow(b"", 100_000)
+
+
 def test_variable_length_coding_round_trip():
     rnd = np.random.default_rng(2)
     docs = [rnd.integers(0, 2 ** rnd.integers(1, 33), rnd.integers(0, 30)).astype(np.uint32) for _ in range(200)]

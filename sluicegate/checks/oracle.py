@@ -228,6 +228,9 @@ def oracle_sql() -> dict[str, str]:
         "user_trajectory": _LOGS + "SELECT " + _TS.format("event_time")
         + ", event_type, page, product_id, duration_ms, arrival FROM clean WHERE user_id = 'U100001'",
         # change data
+        "write_clustered": _LOGS + "SELECT " + _TS.format("event_time")
+        + ", event_type, page, product_id, duration_ms, arrival FROM clean WHERE user_id = 'U100001'",
+        # change data
         "cdc_parse_clean": _CDC + f"SELECT arrival, {_CDC_ROW} FROM named",
         "cdc_op_type": _CDC + "SELECT arrival, op_type FROM named",
         "cdc_row_image": _CDC + "SELECT arrival, user_id, page FROM named",
@@ -357,6 +360,9 @@ SELECT CAST(dt AS VARCHAR) AS dt, count(*) AS total_files, ROUND(sum(file_size_i
   ROUND(min(file_size_in_bytes) / 1024.0 / 1024, 4) AS min_mb, ROUND(max(file_size_in_bytes) / 1024.0 / 1024, 4) AS max_mb,
   ROUND(avg(file_size_in_bytes) / 1024.0 / 1024, 4) AS avg_mb FROM files GROUP BY files.dt ORDER BY files.dt DESC LIMIT 30""",
         "partition_distribution": _LOGS + """
+SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt, count(*) AS rows, count(DISTINCT user_id) AS users,
+  count(DISTINCT device_id) AS devices FROM clean GROUP BY 1 ORDER BY 1 DESC LIMIT 30""",
+        "partition_distribution_sketched": _LOGS + """
 SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS dt, count(*) AS rows, count(DISTINCT user_id) AS users,
   count(DISTINCT device_id) AS devices FROM clean GROUP BY 1 ORDER BY 1 DESC LIMIT 30""",
         "plan_compaction": _FILES + """

@@ -12,7 +12,7 @@ from sluicegate import fixtures
 from sluicegate.constants import KNOWN_FIELDS
 from sluicegate.fixtures import AS_OF
 from sluicegate.operators import cdc, clean, dedup, late
-from sluicegate.plans import compaction, quality, reports, upkeep
+from sluicegate.plans import compaction, quality, reports, sketches, upkeep
 from sluicegate.schema import EVENT_COLUMNS, LAKE_COLUMNS
 from sluicegate.session import work_dir
 from sluicegate.sinks import jdbc, tables
@@ -346,6 +346,22 @@ def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(report.join(rows, "dt").select("dt", "files_before", "files_after", "untouched", "rows", "ids"))
 
 
+def partition_distribution_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the sketches of three batches."""
+    path = work_dir(spark, "sketches")
+    rows = stage(_dated(spark, sf_dir).select("arrival", "dt", "user_id", "device_id"), "dated")
+    for number in range(3):
+        sketches.write_sketches(rows.where(F.col("arrival") % 3 == number), path, number)
+    return _plain(sketches.sketched_distribution(spark, path))
+
+
+def write_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One user's events out of a table clustered by day and user."""
+    path = work_dir(spark, "clustered")
+    tables.write_clustered(_dated(spark, sf_dir), path, target_bytes=64 << 10, row_group_bytes=16 << 10)
+    return _plain(reports.user_trajectory(spark.read.parquet(path).drop("dt"), "U100001", ("arrival",)))
+
+
 def remove_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A write that never came to its commit leaves a file a day; they are found, deleted in tasks, and the table stays."""
     root = _lake_of_logs(spark, sf_dir)
@@ -531,6 +547,8 @@ def queries() -> dict[str, Query]:
         "find_orphan_files": find_orphan_files,
         "compact_files": compact_files,
         "remove_orphans": remove_orphans,
+        "partition_distribution_sketched": partition_distribution_sketched,
+        "write_clustered": write_clustered,
         "expire_written_snapshots": expire_written_snapshots,
         "lake_files_recorded": lake_files_recorded,
     }

@@ -6,6 +6,8 @@ runs against such a catalog, and the writer calls.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicegate import constants as C
@@ -25,20 +27,34 @@ def create_statement(table: str, columns: str) -> str:
     return f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING iceberg PARTITIONED BY (dt) TBLPROPERTIES ({properties})"
 
 
+def match_condition(key: tuple[str, ...] = ("dt", *C.DEDUP_KEY)) -> str:
+    return " AND ".join(f"t.{name} <=> s.{name}" for name in key)
+
+
+#: A stored row gives way to a change that is not older.
+NEWER = "(t.op_ts IS NULL OR s.op_ts >= t.op_ts)"
+
+
 def merge_statement(table: str, source: str, key: tuple[str, ...] = ("dt", *C.DEDUP_KEY)) -> str:
-    """Apply the newest change of each key in ``source``: delete, update or insert; an older change never wins."""
-    same = " AND ".join(f"t.{name} <=> s.{name}" for name in key)
-    newer = "(t.op_ts IS NULL OR s.op_ts >= t.op_ts)"
+    """Apply the newest change of each key in ``source``; an older change never wins.
+
+    A delete stays in the table as a row whose ``op_type`` is ``D``, also where it comes first: an older update that is delayed
+    finds it and is passed over. :func:`current` hides these rows, :func:`purge_statement` removes old ones.
+    """
     updates = ", ".join(f"t.{name} = s.{name}" for name in LAKE_COLUMNS)
     names, values = ", ".join(LAKE_COLUMNS), ", ".join(f"s.{name}" for name in LAKE_COLUMNS)
     return (
-        f"MERGE INTO {table} AS t USING {source} AS s ON {same} "
-        f"WHEN MATCHED AND s.op_type = 'D' AND {newer} THEN DELETE "
-        f"WHEN MATCHED AND {newer} THEN UPDATE SET {updates} "
-        f"WHEN NOT MATCHED AND s.op_type <> 'D' THEN INSERT ({names}) VALUES ({values})"
+        f"MERGE INTO {table} AS t USING {source} AS s ON {match_condition(key)} "
+        f"WHEN MATCHED AND {NEWER} THEN UPDATE SET {updates} "
+        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
     )
 
 
+def purge_statement(table: str, older_than: str) -> str:
+    """Forget deletes from before ``older_than``; no change older than that may still come."""
+    return f"DELETE FROM {table} WHERE op_type = 'D' AND op_ts < TIMESTAMP '{older_than}'"
+
+
 def rewrite_statement(catalog: str, table: str, where: str | None = None, min_input_files: int = C.MIN_INPUT_FILES) -> str:
     """Compact small files; ``where`` restricts it to some days."""
     chosen = f", where => '{where.replace(chr(39), chr(39) * 2)}'" if where else ""
@@ -64,9 +80,17 @@ def append(rows: DataFrame, table: str) -> None:
 
 def merge(spark: SparkSession, table: str, changes: DataFrame, arrival: str | tuple[str, ...] = "arrival") -> None:
     """Bring a batch of changes into the table; of a key the newest change of the batch counts."""
-    view = "_lake_changes"
+    view = f"_lake_changes_{uuid.uuid4().hex}"  # streams of one session merge at the same time
     to_lake_row(latest_per_key(changes, arrival)).createOrReplaceTempView(view)
-    spark.sql(merge_statement(table, view))
+    try:
+        spark.sql(merge_statement(table, view))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """The table without its deleted rows."""
+    return spark.table(table).where("op_type IS NULL OR op_type <> 'D'")
 
 
 def files(spark: SparkSession, table: str) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicegate.constants import BLOOM_COLUMNS, TARGET_FILE_BYTES
 from sluicegate.schema import LAKE, LATE, MAIN
-from sluicegate.session import publish
+from sluicegate.session import delete_path, publish, work_dir
 
 
 def write_batch(
@@ -31,6 +33,35 @@ def write_batch(
         writer.parquet(f"{path}/batch_id={batch_id}")
 
 
+def write_clustered(
+    rows: DataFrame,
+    path: str,
+    by: tuple[str, ...] = ("user_id", "event_time"),
+    target_bytes: int = TARGET_FILE_BYTES,
+    row_group_bytes: int | None = None,
+) -> int:
+    """Write a dated table in which neighbouring values share files of about ``target_bytes``; returns the number of ranges.
+
+    Rows are range-partitioned by day and ``by``, so a file, and a row group in it, holds a narrow range of users: a filter on a
+    user skips the others by their minima and maxima, and the rest by Bloom filters. A user with more rows than a
+    file holds goes on in the next. The number of ranges comes from the rows' size as Parquet, for which they are staged.
+    """
+    spark = rows.sparkSession
+    aside = work_dir(spark, "unclustered")
+    rows.write.option("compression", "zstd").parquet(aside)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(aside)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    staged = spark.read.schema(rows.schema).parquet(aside)
+    ranges = max(1, -(-size // target_bytes))
+    placed = staged.repartitionByRange(ranges, "dt", *by).sortWithinPartitions("dt", *by)
+    writer = placed.write.partitionBy("dt").option("compression", "zstd").options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM_COLUMNS})
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)
+    delete_path(spark, aside)
+    return ranges
+
+
 def write_dirty(dirty: DataFrame, path: str, batch_id: int) -> None:
     """Quarantine table: rejected rows below a folder per reason."""
     write_batch(dirty, path, batch_id, partition_by=("reason",))

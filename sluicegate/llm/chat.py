@@ -11,7 +11,7 @@ the end mark after it. ``<|`` inside a text or a name becomes ``<\\|``, so that
 
 A rendering is cut into segments of ``SEGMENT`` consecutive turn numbers, so that a conversation of any length is
 put together in pieces; ``start`` is the place of a segment in the whole rendering and the mask counts from there.
-Turns are ordered by turn number, then speaker, then text; equal rows are rendered once. A turn number that very many
+Turns are ordered by turn number, then speaker, then text; equal rows are each rendered. A turn number that very many
 different rows share stays one segment.
 
 Nulls: a null text is empty, a null speaker is a participant named ``unknown``, a null turn number comes
@@ -42,7 +42,7 @@ def perspectives(
         F.col(turn).cast("bigint").alias("_turn"),
         F.coalesce(F.col(speaker).cast("string"), F.lit("unknown")).alias("_who"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"),
-    ).distinct()
+    )
     cut = rows.withColumn("segment", F.coalesce(F.floor(F.col("_turn") / segment), F.lit(-1)).cast("bigint"))
     people = rows.filter("_who != 'system'").groupBy("conv_id").agg(F.collect_set("_who").alias("_people"))
     pieces = cut.groupBy("conv_id", "segment").agg(F.array_sort(F.collect_list(F.struct("_turn", "_who", "_text"))).alias("_turns"))
@@ -96,24 +96,24 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = f"""
 WITH t AS (
-  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS body,
+  SELECT row_number() OVER () AS number, conv_id, turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS body,
          CAST(coalesce(floor(turn / {SEGMENT}), -1) AS BIGINT) AS segment
   FROM conversations
 ), people AS (
   SELECT DISTINCT conv_id, who AS perspective FROM t WHERE who <> 'system'
 ), parts AS (
-  SELECT t.conv_id, perspective, segment, turn, who, body, who = perspective AS own,
+  SELECT number, t.conv_id, perspective, segment, turn, who, body, who = perspective AS own,
          '<|im_start|>' || CASE WHEN who = perspective THEN 'assistant' WHEN who = 'system' THEN 'system'
            ELSE 'user name=' || replace(who, '<|', '<\\|') END || chr(10) AS head,
          replace(body, '<|', '<\\|') || '<|im_end|>' AS tail
   FROM t JOIN people ON t.conv_id IS NOT DISTINCT FROM people.conv_id
 ), placed AS (
   SELECT *, sum(length(head) + length(tail) + 1) OVER (PARTITION BY conv_id, perspective, segment
-              ORDER BY turn NULLS FIRST, who, body) - length(head) - length(tail) - 1 AS pos
+              ORDER BY turn NULLS FIRST, who, body, number) - length(head) - length(tail) - 1 AS pos
   FROM parts
 ), whole AS (
   SELECT conv_id, perspective, segment, count(*) AS turns,
-         string_agg(head || tail || chr(10), '' ORDER BY turn NULLS FIRST, who, body) AS rendered,
+         string_agg(head || tail || chr(10), '' ORDER BY turn NULLS FIRST, who, body, number) AS rendered,
          coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(tail)), ',' ORDER BY pos) FILTER (own), '') AS mask
   FROM placed GROUP BY conv_id, perspective, segment
 )

@@ -211,7 +211,7 @@ def verified(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """Per document: identifier, class (the smallest identifier in its group), size of the class, and whether it is the one to stay."""
+    """Per document: identifier, class (the smallest identifier in its group, null only if all are) and size of the class."""
     spark = docs.sparkSession
     sketched = staged(spark, sketch(docs, text, id_col), "near-sketch")
     nodes = staged(
@@ -326,4 +326,4 @@ def _pairs(pairs: DataFrame) -> DataFrame:
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return found.select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))

@@ -16,6 +16,7 @@ names. Texts are scanned whole whatever their length.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import pyspark.sql.types as T
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,27 +40,31 @@ SAMPLE_DOCS = 4000
 MIN_RATIO = 12.0
 SMOOTHING = 0.5
 _SYMBOLS = 66
+_BLOCK = 128
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once; outside a lambda's own arguments, it would be for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def spans(text: Column, pattern: str, kind: str, least: int, group: int = 0) -> Column:
     """(start, rank, end) of all leftmost matches whose group has at least ``least`` characters.
 
-    Matches and the gaps between them are taken apart by the same pattern, so that running lengths give the positions.
+    Matches and the gaps between them are taken apart by the same pattern, so that running lengths give the positions. They are
+    added up in blocks of ``_BLOCK`` matches, then over blocks, as a growing array is copied with each element.
     """
     rank = KINDS.index(kind)
-    gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    zipped = F.arrays_zip(found.alias("match"), checked.alias("checked"), F.split(text, pattern, -1).alias("gap"))
+    size = lambda x: F.coalesce(F.char_length(x), F.lit(0))
+    # one more gap than matches: the last one is left out
     pieces = F.transform(
-        found,
-        lambda m, i: F.struct(
-            F.char_length(F.element_at(gaps, i + 1)).alias("gap"),
-            F.char_length(m).alias("size"),
-            F.char_length(F.element_at(checked, i + 1)).alias("checked"),
-        ),
+        F.filter(zipped, lambda z: z["match"].isNotNull()),
+        lambda z: F.struct(size(z["gap"]).alias("gap"), size(z["match"]).alias("size"), size(z["checked"]).alias("checked")),
     )
     nothing = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
 
     def step(acc: Column, piece: Column) -> Column:
         begin = acc["at"] + piece["gap"]
@@ -67,7 +72,22 @@ def spans(text: Column, pattern: str, kind: str, least: int, group: int = 0) ->
         one = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(piece["checked"] >= least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
+    def blocks(all_: Column) -> Column:
+        last = F.floor(F.greatest(F.size(all_) - 1, F.lit(0)) / _BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_, k * _BLOCK + 1, F.lit(_BLOCK)))
+
+    def starts(cut: Column) -> Column:
+        lengths = F.transform(cut, lambda block: F.aggregate(block, F.lit(0), lambda n, piece: n + piece["gap"] + piece["size"]))
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        add = lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(lengths, zero, add, lambda acc: acc["out"])
+
+    def placed(cut: Column) -> Column:
+        begins = F.arrays_zip(cut.alias("block"), starts(cut).alias("at"))
+        one = lambda b: F.aggregate(b["block"], F.struct(b["at"].alias("at"), nothing.alias("out")), step, lambda acc: acc["out"])
+        return F.flatten(F.transform(begins, one))
+
+    return _with(pieces, lambda all_: _with(blocks(all_), placed))
 
 
 def _where(condition: Column, value: Column) -> Column:

@@ -123,7 +123,7 @@ def test_every_participant_is_the_assistant_once(spark):
     first = got["c", "ann", 0]
     assert first.rendered == (
         "<|im_start|>system\nrules<|im_end|>\n<|im_start|>assistant\nhi <\\|im_end|><|im_end|>\n"
-        "<|im_start|>user name=bob\n<|im_end|>\n<|im_start|>user name=unknown\nwho?<|im_end|>\n"
+        "<|im_start|>user name=bob\n<|im_end|>\n" + "<|im_start|>user name=unknown\nwho?<|im_end|>\n" * 2  # said twice
     )
     assert [first.rendered[m.start : m.end] for m in first.mask] == ["hi <\\|im_end|><|im_end|>"]
     second = got["c", "ann", 1]

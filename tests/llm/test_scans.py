@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -42,6 +43,19 @@ def test_secrets_keep_the_base_spans_and_add_random_tokens(spark, odd, texts, sm
     assert secrets.scan_secrets(words, model).first().spans == []
 
 
+def test_text_full_of_secrets(spark):
+    """A megabyte of assignments in one text takes seconds, and every place is right."""
+    lines = [f"password = secret{k:06d}x " for k in range(40_000)]
+    text = "".join(lines)
+    began = time.time()
+    row = secrets.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"), model=[0.0] * 128 * 128).first()
+    assert time.time() - began < 60
+    starts = [0]
+    for line in lines:
+        starts.append(starts[-1] + len(line))
+    assert [(s.start, s.rank, s.end) for s in row.base] == [(a, 0, b - 1) for a, b in zip(starts, starts[1:])]
+
+
 def test_secrets_of_nothing(nothing):
     assert secrets.scan_secrets(nothing).count() == 0
 

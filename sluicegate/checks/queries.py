@@ -332,7 +332,7 @@ def _dated_files(spark: SparkSession, sf_dir: str) -> str:
     rows = _events(spark, sf_dir).select("event_id", F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"), F.to_date("ts").alias("dt"))
     for number in range(6):
         rows.where(F.col("event_id") % 6 == number).repartition("dt").write.mode("append").partitionBy("dt").parquet(path)
-    long_names = rows.withColumn("user_id", F.concat("user_id", *(F.sha2(F.concat(F.col("event_id").cast("string"), F.lit(str(k))), 512) for k in range(2))))
+    long_names = rows.withColumn("user_id", F.concat("user_id", *(F.sha2(F.concat(F.col("event_id").cast("string"), F.lit(str(k))), 512) for k in range(8))))
     long_names.repartition("dt").write.mode("append").partitionBy("dt").parquet(path)
     return path
 

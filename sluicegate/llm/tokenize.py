@@ -26,6 +26,8 @@ _WITHOUT = re.compile(f"[^{_SPACE}]+")
 #: Pieces that one worker remembers, about, and the longest of them.
 REMEMBERED = 1_000_000
 _LONGEST = 48
+#: Marks that end a word.
+_MARKS = ".,!?;:#%"
 #: Pieces joined to one text.
 _TOGETHER = 500
 END_ID = 2
@@ -49,6 +51,7 @@ class Encoder:
         self.line_id = self.tokenizer.encode("\n", add_special_tokens=False).ids[0] if self.byte_level else None
         self.plain: dict[str, bytes] = {}
         self.after_blank: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as bytes; a null text is empty."""
@@ -88,6 +91,11 @@ class Encoder:
     def _learn(self, known: dict[str, bytes], blank: str, pieces: set[str]) -> set[str]:
         """Add the ids of new pieces; returns those too long to be kept."""
         new = [piece for piece in pieces if piece not in known]
+        # both tokenizers cut between a letter or digit and the marks after it, so a word is encoded once for all its endings
+        ended = [(piece, stem) for piece in new if (stem := piece.rstrip(_MARKS)) != piece and stem[-1:].isalnum()]
+        if ended:
+            whole = {piece for piece, _ in ended}
+            new = list({stem for _, stem in ended if stem not in known}.union(piece for piece in new if piece not in whole))
         self.tokenizer.encode_special_tokens = False
         if self.line_id is None:
             self._encode(known, new, blank, self.apart, self.apart_id)
@@ -100,7 +108,16 @@ class Encoder:
                 self._encode(known, [piece for piece in new if piece not in apart], blank, "\n", self.line_id)
             else:
                 self._encode(known, new, blank, "\n", self.line_id)
-        return {piece for piece in new if len(piece) > _LONGEST}
+        for piece, stem in ended:
+            known[piece] = known[stem] + self._mark(piece[len(stem) :])
+        return {piece for piece in (*new, *(piece for piece, _ in ended)) if len(piece) > _LONGEST}
+
+    def _mark(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) > REMEMBERED:
+                self.marks.clear()
+            self.marks[marks] = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
+        return self.marks[marks]
 
     def _encode(self, known: dict[str, bytes], new: list[str], blank: str, apart: str, apart_id: int) -> None:
         joined = [blank + (apart + blank).join(new[a : a + _TOGETHER]) for a in range(0, len(new), _TOGETHER)]

@@ -30,7 +30,7 @@ def test_pieces_give_the_ids_of_the_whole_text(name):
 def test_slices_and_special_tokens(name):
     """Texts encoded together give what each gives alone; strings of special tokens are those tokens, or text where asked for."""
     rnd = random.Random(3)
-    bits = [" ", " ", "\n", "a", "bc", "\t", "x" * 60, "<|endoftext|>", "<|startoftext|>", "<|end", "\x85", "1", "é", "\n\n"]
+    bits = [" ", " ", "\n", "a", "bc", ".", "?!", "#", "bc%", "½", "١", "\t", "x" * 60, "<|endoftext|>", "<|startoftext|>", "<|end", "\x85", "1", "é", "\n\n"]
     texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 25))) for _ in range(3000)] + [None]
     coder = encoder(name)
     got = [np.frombuffer(raw, "<u4").tolist() for raw in coder.encode_all(texts)]

@@ -16,7 +16,8 @@ The counts are tables partitioned by hash and the documents' n-grams travel to t
 - words that are backed off to and are not among the ``TOP`` are joined to the table of word counts, then everything is
   summed by document.
 
-The number of buckets follows the number of words, ``BUCKET_WORDS`` for each.
+The number of buckets follows the number of words, ``BUCKET_WORDS`` for each. Identifiers and lengths leave with the
+pairs, so the texts are read three times (words, commonest pairs, all pairs) and scores need not go back to them.
 
 Nulls: a null text has no words; its score is 0 and its mean null, as for a text without words. With ``per_row``, as
 in the query, every row is a document and has the score of its own text, whatever its identifier; without, rows with
@@ -33,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.types as T
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +46,7 @@ from sluicegate.llm.hashing import BASE, mix, word_hashes
 ALPHA, MIN_COUNT = 0.4, 2
 TOP, HOT = 65_536, 1024
 BUCKET_WORDS = 2_500_000
+_SENT = ["bucket", "count", "body", "doc", "_id", "words"]
 #: Stands before the first word of a document; no word's hash for certain, since words are hashed with their length.
 START = np.uint64(0)
 
@@ -161,7 +164,7 @@ def _pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def score_documents(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", alpha: float = ALPHA, min_count: int = MIN_COUNT, top: int = TOP, hot: int = HOT, bucket_words: int = BUCKET_WORDS, per_row: bool = False
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", alpha: float = ALPHA, min_count: int = MIN_COUNT, top: int = TOP, hot: int = HOT, bucket_words: int = BUCKET_WORDS, per_row: bool = False, from_files: bool = False
 ) -> DataFrame:
     """Per row: identifier, number of words, sum of logarithms, and their mean per word.
 
@@ -173,7 +176,7 @@ def score_documents(
     number = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63) + 1)) if integral else F.xxhash64(F.col(id_col))
     doc = F.monotonically_increasing_id() if per_row else number
     named = docs.select(F.col(id_col).alias("_id"), doc.alias("_doc"), F.col(text).cast("string").alias("_text"))
-    if per_row:  # the numbers must stay the same however often the rows are read
+    if per_row and not from_files:  # a repeated task must give each row its number again
         named = staged(spark, named, "lm-rows")
     rows = named.select("_doc", "_text")
     counts = staged(spark, word_counts(rows), "lm-words")
@@ -191,11 +194,12 @@ def score_documents(
         return np.where(found, np.log(c.clip(1)) - np.log(context.clip(1)), backed), ~found & (place < 0)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of a slice, packed by bucket; bucket -1 has what is already scored."""
+        """Pairs of a slice, packed by bucket; bucket -1 has the documents and what is already scored."""
         common = shared.value
         for batch in slices(batches, "_text"):
             doc, before, word = _pairs(batch.column("_text").to_pylist())
             name = batch.column("_doc").to_numpy(zero_copy_only=False)
+            sizes = np.bincount(doc, minlength=batch.num_rows)
             doc = name[doc] if len(doc) else np.zeros(0, np.int64)
             pair = _pair_hash(before, word)
             order = np.lexsort((doc, pair))
@@ -224,17 +228,22 @@ def score_documents(
                     out[0].append(b)
                     out[1].append(len(k))
                     out[2].append(_packed(before[k], word[k], doc[k], n[k]))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["bucket", "count", "body"])
+            packed = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())]
+            lack = lambda k, *kinds: [pa.nulls(k, kind) for kind in kinds]
+            yield pa.RecordBatch.from_arrays([*packed, *lack(len(out[0]), pa.int64(), batch.column("_id").type, pa.int64())], _SENT)
+            places = [pa.array(np.full(batch.num_rows, -1), pa.int64()), *lack(batch.num_rows, pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*places, batch.column("_doc"), batch.column("_id"), _signed(sizes)], _SENT)
 
     def meet(batch: pa.Table) -> pa.Table:
         """Count, join and sum the pairs of a bucket."""
         if batch.num_rows and batch.column("bucket")[0].as_py() < 0:
-            raws = batch.column("body").to_pylist()
-            sizes = batch.column("count").to_pylist()
-            ids = np.concatenate([np.frombuffer(r, "<i8", c) for r, c in zip(raws, sizes)])
-            total = np.concatenate([np.frombuffer(r, "<f8", c, 8 * c) for r, c in zip(raws, sizes)])
+            named = batch.filter(pc.is_valid(batch.column("words")))
+            scored = batch.filter(pc.is_valid(batch.column("body")))
+            raws, sizes = scored.column("body").to_pylist(), scored.column("count").to_pylist()
+            ids = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r, "<i8", c) for r, c in zip(raws, sizes))])
+            total = np.concatenate([np.zeros(0), *(np.frombuffer(r, "<f8", c, 8 * c) for r, c in zip(raws, sizes))])
             ids, total = _summed(ids, total)
-            return _rows(ids, total, np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            return _rows(ids, total, np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), named)
         parts = [_unpacked(r, c) for r, c in zip(batch.column("body").to_pylist(), batch.column("count").to_pylist())]
         before, word, doc, n = (np.concatenate([p[k] for p in parts]) for k in range(4))
         pair = _pair_hash(before, word)
@@ -247,42 +256,59 @@ def score_documents(
         logs, lacking = found_or_not(c, context, word[first])
         ids, total = _summed(doc, n * logs[place])
         late = np.flatnonzero(lacking[place])
-        return _rows(ids, total, doc[late], word[late], n[late].astype(np.int64))
-
-    sent = rows.mapInArrow(send, "bucket bigint, count bigint, body binary")
-    spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("body"), F.lit(buckets))).otherwise(F.lit(0))
-    met = sent.groupBy("bucket", spread).applyInArrow(lambda batch: meet(batch), "doc bigint, score double, word bigint, n bigint")
-    partial = staged(spark, met, "lm-partial")
+        return _rows(ids, total, doc[late], word[late], n[late].astype(np.int64), batch.slice(0, 0))
+
+    kind = named.schema["_id"]
+    packed = [T.StructField("bucket", T.LongType()), T.StructField("count", T.LongType()), T.StructField("body", T.BinaryType())]
+    own = [T.StructField("doc", T.LongType()), T.StructField("_id", kind.dataType), T.StructField("words", T.LongType())]
+    sent = named.mapInArrow(send, T.StructType(packed + own))
+    spread = F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("body", "doc"), F.lit(buckets))).otherwise(F.lit(0))
+    made = T.StructType([*own, T.StructField("score", T.DoubleType()), T.StructField("word", T.LongType()), T.StructField("n", T.LongType())])
+    partial = staged(spark, sent.groupBy("bucket", spread).applyInArrow(lambda batch: meet(batch), made), "lm-partial")
     late = partial.filter("word IS NOT NULL").join(counts.select("word", F.col("n").alias("c")), "word").select("doc", (F.col("n") * F.log("c")).alias("score"))
-    sums = partial.filter("word IS NULL").select("doc", "score").unionByName(late).groupBy("doc").agg(F.sum("score").alias("score"))
-
-    def length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            owner, *_ = _pairs(batch.column("_text").to_pylist())
-            n = np.bincount(owner, minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_doc"), _signed(n)], ["_id", "_doc", "words"])
-
-    sizes = named.mapInArrow(length, T.StructType([named.schema["_id"], named.schema["_doc"], T.StructField("words", T.LongType())]))
-    pooled = sizes.groupBy("_doc").agg(F.sum("words").alias("n_words")).join(sums, F.col("_doc") == F.col("doc"), "left").select("_doc", "n_words", "score")
-    ids = named.select("_id", "_doc")
-    score = F.coalesce("score", F.lit(0.0))
-    return ids.join(pooled, "_doc").select(
-        F.col("_id").alias(id_col), "n_words", score.alias("log_score"), F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("per_word")
+    scores = partial.filter("score IS NOT NULL").select("doc", "score").unionByName(late)
+    documents = partial.filter("words IS NOT NULL").select("doc", "_id", "words")
+    pooled = scores.unionByName(documents.select("doc", "words"), allowMissingColumns=True)
+    pooled = pooled.groupBy("doc").agg(F.sum("words").alias("n_words"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("score"))
+    return documents.select("doc", "_id").join(pooled, "doc").select(
+        F.col("_id").alias(id_col), "n_words", F.col("score").alias("log_score"), F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("per_word")
     )
 
 
-def _rows(ids: np.ndarray, total: np.ndarray, doc: np.ndarray, word: np.ndarray, n: np.ndarray) -> pa.Table:
-    """Sums per document, then words whose counts are still to be joined."""
-    empty = lambda k, kind: pa.nulls(k, kind)
-    return pa.table(
-        {
-            "doc": pa.concat_arrays([_signed(ids), _signed(doc)]),
-            "score": pa.concat_arrays([pa.array(total, pa.float64()), empty(len(doc), pa.float64())]),
-            "word": pa.concat_arrays([empty(len(ids), pa.int64()), _signed(word)]),
-            "n": pa.concat_arrays([empty(len(ids), pa.int64()), _signed(n)]),
-        }
-    )
+def _rows(ids: np.ndarray, total: np.ndarray, doc: np.ndarray, word: np.ndarray, n: np.ndarray, named: pa.Table) -> pa.Table:
+    """Sums per document, then words whose counts are still to be joined, then documents with their lengths."""
+    parts = [
+        {"doc": _signed(ids), "score": pa.array(total, pa.float64())},
+        {"doc": _signed(doc), "word": _signed(word), "n": _signed(n)},
+        {c: named.column(c) for c in ("doc", "_id", "words")},
+    ]
+    kinds = {"doc": pa.int64(), "_id": named.schema.field("_id").type, "words": pa.int64(), "score": pa.float64(), "word": pa.int64(), "n": pa.int64()}
+    sizes = [len(p["doc"]) for p in parts]
+    return pa.concat_tables(pa.table({c: p[c] if c in p else pa.nulls(k, kind) for c, kind in kinds.items()}) for p, k in zip(parts, sizes))
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(table(spark, sf_dir, "documents"), per_row=True)
+    found = score_documents(table(spark, sf_dir, "documents"), per_row=True, from_files=True)
+    # sums depend on the order of adding in the last digits
+    return found.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round("per_word", 6).alias("per_word"))
+
+
+OP3_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+),
+grams AS (SELECT row, CASE WHEN i > 1 THEN w[i - 1] ELSE '' END AS v, w[i] AS w FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+pairs AS (SELECT v, w, count(*) AS n FROM grams GROUP BY v, w),
+contexts AS (SELECT v, sum(n) AS n FROM pairs GROUP BY v),
+singles AS (SELECT w, sum(n) AS n FROM pairs GROUP BY w),
+scored AS (
+  SELECT p.v, p.w, ln(CASE WHEN p.n >= {MIN_COUNT} THEN p.n / c.n ELSE {ALPHA} * s.n / (SELECT sum(n) FROM pairs) END) AS log_score
+  FROM pairs AS p JOIN contexts AS c ON p.v = c.v JOIN singles AS s ON p.w = s.w
+),
+sums AS (SELECT row, sum(log_score) AS log_score FROM grams JOIN scored USING (v, w) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(log_score, 0.0), 6) AS log_score,
+  CASE WHEN len(w) > 0 THEN round(log_score / len(w), 6) END AS per_word
+FROM d LEFT JOIN sums USING (row)
+"""

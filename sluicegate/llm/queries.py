@@ -41,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_lm_score": lm_score.OP3_SQL,
     "op5_chat_formatting": chat.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,

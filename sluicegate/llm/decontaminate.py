@@ -73,6 +73,11 @@ class Automaton:
         self.short_items: dict[int, dict[int, set[str]]] = {}
         for name, coded in kept:
             self._note(name, coded)
+        #: For each state the nearest of its suffixes, itself included, at which a short item ends, or 0.
+        self.short_end = [0] * len(self.length)
+        if self.short_items:
+            for state in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+                self.short_end[state] = state if state in self.short_items else self.short_end[self.link[state]]
 
     def _extend(self, last: int, word: int) -> int:
         known = self.next[last].get(word)
@@ -128,27 +133,30 @@ class Automaton:
         for word in coded:
             state, matched = self.advance(state, matched, word)
             if not short and matched >= self.window:
-                self.window_items.setdefault(self.holding(state, self.window), set()).add(name)
+                state, matched = self.holding(state, self.window), self.window
+                self.window_items.setdefault(state, set()).add(name)
         if short:
             own = self.short_items.setdefault(self.holding(state, len(coded)), {})
             own.setdefault(len(coded), set()).add(name)
 
     def occurrences(self, coded: list[int], base: int) -> Iterator[tuple[int, int, set[str]]]:
-        """(start, end, items) of each occurrence of a window in a run of known words."""
+        """(start, end, items) of each occurrence of a window in a run of known words.
+
+        No longer match than a window is followed, so that a step climbs one link at most besides those that shorten the match.
+        """
         state = matched = 0
         for i, word in enumerate(coded):
             state, matched = self.advance(state, matched, word)
             if matched >= self.window:
-                at = self.holding(state, self.window)
-                if at in self.window_items:
-                    yield base + i + 1 - self.window, base + i + 1, self.window_items[at]
-            if self.short_items:
-                at = state
-                while at > 0:
-                    for length, names in self.short_items.get(at, {}).items():
-                        if length <= matched:
-                            yield base + i + 1 - length, base + i + 1, names
-                    at = self.link[at]
+                state, matched = self.holding(state, self.window), self.window
+                if state in self.window_items:
+                    yield base + i + 1 - self.window, base + i + 1, self.window_items[state]
+            at = self.short_end[state]
+            while at > 0:
+                for length, names in self.short_items[at].items():
+                    if length <= matched:
+                        yield base + i + 1 - length, base + i + 1, names
+                at = self.short_end[self.link[at]]
 
     def hits(self, doc: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Word spans, possibly overlapping, and the items they come from."""

@@ -22,6 +22,7 @@ import hashlib
 import math
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -259,7 +260,8 @@ def training_zones(docs: DataFrame, text: str, id_col: str, most: int) -> list[t
                         out[1].append(piece)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string())], ["place", "piece"])
 
-    rows = docs.select(F.xxhash64(F.col(id_col)).alias("_order"), F.col(text).cast("string").alias("_text"))
+    body = F.col(text).cast("string")
+    rows = docs.select(F.xxhash64(F.col(id_col), body).alias("_order"), body.alias("_text"))
     some = sampled(rows.filter(F.col("_text").rlike("[0-9@]")), "_order", 4 * most)
     picked = some.select("_text").mapInArrow(cut, "place bigint, piece string").distinct().orderBy("place", "piece").limit(most)
     examples = []
@@ -289,12 +291,18 @@ def more_spans(text: str, base: list[Span], model: SpanModel) -> list[Span]:
     out: list[Span] = []
     if not model.trained or "@" not in text and not _DIGIT.search(text):
         return out
-    covered = sorted((a, b) for _, a, b in base)
+    starts, ends = [], []
+    for _, a, b in sorted(base, key=lambda s: s[1]):  # their union, as disjoint spans in order
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    met = lambda a, b: bisect_left(starts, b) > bisect_right(ends, a)  # noqa: E731  whether a base span has a part of a:b
     for tokens in zones(text):
-        own = [(a, b) for a, b in covered if a < tokens[-1][1] and tokens[0][0] < b]
-        free = any((text[a] == "@" or "0" <= text[a] <= "9") and not any(x <= a < y for x, y in own) for a, _ in tokens)
+        free = any((text[a] == "@" or "0" <= text[a] <= "9") and not met(a, a + 1) for a, _ in tokens)
         if free:  # else nothing that could be found is apart from base spans
-            out += [s for s in model.best(text, tokens) if not any(s[1] < b and a < s[2] for a, b in own)]
+            out += [s for s in model.best(text, tokens) if not met(s[1], s[2])]
     return out
 
 

@@ -7,7 +7,9 @@ partitioning already keeps equal texts together, so the window needs no second s
 DataFrame functions are used.
 
 A text that makes up more than ``1 / parts`` of all rows (so there are fewer than ``parts`` such
-texts) is dealt out over ``parts`` salts, and the few runs that result are combined afterwards.
+texts) is dealt out over ``parts`` salts, by identifier and by the task that read the row, so that copies without
+identifiers part as well, and the few runs that result are combined afterwards. A repeated task deals its rows alike,
+in whatever order it meets them.
 
 Nulls: a null text counts as empty. A null identifier is smaller than any other. Repeated rows
 (same text, same identifier): each stays a row of its own and all carry the same ``kept``. An empty
@@ -50,7 +52,7 @@ def content_sort_dedup(
         .select(
             "_id",
             lower_ascii(F.col("_raw")).alias("_text"),
-            F.when(F.col("_hot"), F.pmod(F.xxhash64(F.lit("salt"), F.col("_id")), F.lit(parts)) + 1).otherwise(F.lit(0)).alias("_salt"),
+            F.when(F.col("_hot"), F.pmod(F.xxhash64(F.lit("salt"), F.col("_id"), F.spark_partition_id()), F.lit(parts)) + 1).otherwise(F.lit(0)).alias("_salt"),
         )
     )
     # Splitters are sampled from the first characters and a hash: whole texts would flood the driver.

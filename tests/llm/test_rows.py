@@ -7,7 +7,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from sluicegate.llm import lm_score, near_dedup, packing
+from sluicegate.llm import exact_dedup, lm_score, near_dedup, packing
 from sluicegate.llm.decontaminate import words
 
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
@@ -74,6 +74,22 @@ def test_query_scores_rows_alone(spark, tmp_path, bodies):
     assert got == Counter([(None, 100), (None, 101), (1, 100), (1, 100)])
 
 
+def test_numbers_need_not_be_written_for_rows_from_files(spark, tmp_path, bodies):
+    rows = [(None, bodies[0]), (None, f"{bodies[0]} more"), (1, None), (1, bodies[2]), (2, "")]
+    plain(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    one, other = (lm_score.score_documents(docs, per_row=True, from_files=x).collect() for x in (True, False))
+    plainly = lambda found: sorted((r.doc_id or 0, r.n_words, round(r.log_score, 9)) for r in found)
+    assert plainly(one) == plainly(other) and len(one) == len(rows)
+
+
+def test_copies_without_identifiers_are_dealt_out(spark, bodies):
+    rows = [(None, bodies[0])] * 600 + [(7, bodies[0])] * 300 + [(8, bodies[1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], PLAIN).repartition(7)
+    found = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.content_sort_dedup(docs, parts=20).collect())
+    assert found == Counter({(None, 7, 900, False): 600, (7, 7, 900, True): 300, (8, 8, 1, True): 1})
+
+
 def test_many_sources_have_queues_of_their_own():
     totals = {f"s{i}": 4096 for i in range(2000)}
     assert len(set(packing.queues_of(totals, None, 4096).values())) == 2000

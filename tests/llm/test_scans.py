@@ -131,3 +131,33 @@ def test_contamination_of_and_by_nothing(spark, odd, nothing, texts):
     benchmark = spark.createDataFrame([(1, "some item")], "item_id long, text string")
     assert dc.decontaminate(nothing, benchmark).count() == 0
     assert dc.decontaminate(odd, benchmark.limit(0)).filter("n_hit = 0 AND NOT contaminated").count() == len(texts)
+
+
+def test_a_word_said_over_and_over_takes_linear_time():
+    """Items and a text of one word: a second of work for a hundred thousand words, and the same hits as by comparing."""
+    for n in (1, 5, 13, 40):
+        items = [("long", ["w"] * n), ("short", ["w", "w"]), ("other", ["w", "v", "w"])]
+        doc = ["w"] * 30 + ["v"] + ["w"] * 12 + ["x"] + ["w"]
+        spans, names = dc.Automaton(items).hits(doc)
+        found = dc.brute_force(" ".join(doc), [(name, " ".join(item)) for name, item in items])
+        assert sum(b - a for a, b in dc.merged(spans)) == found[1] and len(names) == found[2]
+    began = time.time()
+    automaton = dc.Automaton([("a", ["w"] * 100_000), ("b", ["w"] * 12)])
+    spans, names = automaton.hits(["w"] * 100_000)
+    assert dc.merged(spans) == [(0, 100_000)] and names == {"a", "b"} and time.time() - began < 20
+
+
+def test_text_full_of_addresses():
+    """A megabyte of addresses costs what twice half of it does."""
+    model = pii.SpanModel()
+    model.trained = True
+    text = "".join(f"mail u{k}@mail.example.com\n" for k in range(40_000))
+    base = pii.base_spans(text)
+    began = time.time()
+    added = pii.more_spans(text, base, model)
+    assert time.time() - began < 30 and len(base) == 40_000
+    assert not added  # nothing is apart from the base spans
+    mixed = "1.2.3.4.5 x 77 y a@b.c"
+    own = pii.base_spans(mixed)
+    for s in pii.more_spans(mixed, own, model):
+        assert all(s[1] >= b or a >= s[2] for _, a, b in own)

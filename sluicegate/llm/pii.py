@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import sampled, slices, table
@@ -330,18 +330,22 @@ def find_personal_data(docs: DataFrame, model: SpanModel, text: str = "text", id
     return found.withColumnRenamed("_id", id_col)
 
 
-def _listed(found):
+def _listed(found: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
     one = lambda s: F.concat_ws(":", F.element_at(names, (s[0] + 1).cast("int")), s[1].cast("string"), s[2].cast("string"))
     return F.array_join(F.transform(found, one), ",")
 
 
+def _counted(found: Column, rank: int) -> Column:
+    return F.size(F.filter(found, lambda s: s[0] == rank)).cast("bigint")  # a second argument would be the place in the array
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = find_personal_data(docs, fit(docs))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("base", lambda s, k=k: s[0] == k)).cast("bigint").alias(f"n_{kind}") for k, kind in enumerate(KINDS)),
+        *(_counted(F.col("base"), rank).alias(f"n_{kind}") for rank, kind in enumerate(KINDS)),
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size("base")).cast("bigint").alias("n_added"),

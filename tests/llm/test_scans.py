@@ -83,6 +83,24 @@ def test_personal_data_keeps_the_base_spans(spark, odd, texts):
     assert sorted((r.doc_id if r.doc_id is not None else -1, [list(s) for s in r.base]) for r in rows) == want
 
 
+def test_personal_data_is_counted_by_kind(spark, tmp_path):
+    texts = [
+        "a@b.co and c@d.co from 10.0.0.1, 10.0.0.2 and 10.0.0.3",
+        "call +1 (234) 555-1234, +49 30 1234567",
+        "card 4111 1111 1111 1111, mail a@b.co, card 4111-1111-1111-1111",
+        "1.2.3.4 then +12345678 and a@b.c.d then 1.2.3.4",
+        "nothing",
+        "",
+        None,
+    ]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in pii.op7_pii(spark, str(tmp_path)).collect()}
+    for k, text in enumerate(texts):
+        kinds = [kind for kind, *_ in pii.base_spans(text or "")]
+        assert (rows[k].n_email, rows[k].n_ip, rows[k].n_card, rows[k].n_phone) == tuple(kinds.count(n) for n in range(4)), text
+        assert rows[k].base_sha256 == pii.brute_force(text)
+
+
 def test_the_span_model_learns_boundaries_and_types():
     lines = [f"call +1 ({100 + i}) 555-{1000 + i} or mail u{i}@mail.example.com from 10.0.{i}.7 today" for i in range(60)]
     lines += [f"version {i}.0 of {1900 + i} has 12{i} pages" for i in range(60)]

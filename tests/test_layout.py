@@ -84,3 +84,21 @@ def test_sketches_are_close_and_mergeable(spark, root, visits):
 def test_sketch_of_null_users(spark, root, visits):
     sketches.write_sketches(visits.withColumn("user_id", F.lit(None).cast("string")), f"{root}/sketches", 0)
     assert {r["users"] for r in sketches.sketched_distribution(spark, f"{root}/sketches").collect()} == {0}
+
+
+def test_counts_of_kept_values_are_exact(spark, root):
+    """Several thousand users a day, which a sketch no longer tells apart; batches share users, and one is repeated."""
+    seen = spark.range(40_000).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int")).alias("dt"),
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("U"), (F.col("id") % 18_001).cast("string"))).alias("user_id"),
+        F.when(F.col("id") % 2 == 1, F.concat(F.lit("D"), (F.col("id") % 5).cast("string"))).alias("device_id"),
+        (F.col("id") % 3).alias("batch"),
+    )
+    for number in (0, 1, 2, 1):
+        batch = seen.where(F.col("batch") == number)
+        sketches.write_sketches(batch, f"{root}/sketches", number)
+        sketches.write_values(batch, f"{root}/values", number)
+    exact = upkeep.partition_distribution(seen).collect()
+    assert sketches.exact_distribution(spark, f"{root}/sketches", f"{root}/values").collect() == exact
+    assert sketches.exact_distribution(spark, f"{root}/sketches", f"{root}/values", last=1).collect() == exact[:1]
+    assert sketches.sketched_distribution(spark, f"{root}/sketches").collect() != exact

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from sluicegate.constants import DEDUP_KEY, DEDUP_TTL_MS
 from sluicegate.sources.tables import stage
 
+#: Rows of a key that one task follows through time at once, see :func:`dedup_ttl`.
+FEW_ROWS = 200
+
 
 def dedup_first_seen(
     events: DataFrame, arrival: str | tuple[str, ...] = "arrival", key: tuple[str, ...] = DEDUP_KEY
@@ -28,26 +31,61 @@ def dedup_ttl(
     arrival: str = "arrival",
     key: tuple[str, ...] = DEDUP_KEY,
     ttl_ms: int = DEDUP_TTL_MS,
+    few_rows: int = FEW_ROWS,
 ) -> DataFrame:
     """Keep a row unless the same key was kept less than ``ttl_ms`` before.
 
-    Only kept rows start a new period, so the choice is a chain along each key. Few keys need
-    it: where the last arrival comes less than one period after the first, the first row is all
-    that is kept. Of the others, repeats in the same millisecond fall away before the shuffle. Every instant is then
-    linked with its successor, the first instant of its key at least a period later, and the chains are marked by
+    Only kept rows start a new period, so the choice is a chain along each key. Most keys have few rows, and one task follows
+    the chain of such a key through its sorted rows. Of keys with more than ``few_rows``, those whose last arrival comes less
+    than one period after the first keep the first row only. Of the others, repeats in the same millisecond fall away before
+    the shuffle. Every instant is then linked with its successor, the first instant of its key at least a period later, and the chains are marked by
     pointer doubling: as many joins as twice the logarithm of the longest chain, whatever the number of repeats.
     All of it is dealt out by key and time, so one steady key spreads over all tasks.
     """
     timed = events.withColumn("_at", F.unix_millis(arrived_at))
-    spans = timed.groupBy(*key).agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    spans = timed.groupBy(*key).agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"), F.count(F.lit(1)).alias("_rows"))
     # Written out first, so that joining with the usual handful of keys needs no shuffle of the events.
-    numbered = spans.where(F.col("_to") - F.col("_from") >= ttl_ms).select(*key, F.monotonically_increasing_id().alias("_key"))
-    long_keys = stage(numbered, "long-keys")
-    short = dedup_first_seen(join_on(timed, long_keys, key, "left_anti"), ("_at", arrival), key)
+    frequent = stage(spans.where(F.col("_rows") > few_rows), "frequent-keys")
+    kept_of_few = followed(join_on(timed, frequent, key, "left_anti"), arrival, key, ttl_ms).select(*events.columns)
+    if frequent.isEmpty():
+        return kept_of_few
+    is_long = F.coalesce(F.col("_to") - F.col("_from") >= ttl_ms, F.lit(False))
+    long_keys = stage(frequent.where(is_long).select(*key, F.monotonically_increasing_id().alias("_key")), "long-keys")
+    short = dedup_first_seen(join_on(timed, frequent.where(~is_long), key, "left_semi"), ("_at", arrival), key)
     of_long = join_on(timed, long_keys, key, "inner", "_key")
     instants = stage(dedup_first_seen(of_long, arrival, ("_key", "_at")), "instants")
     kept = chains(stage(successors(instants, ttl_ms), "successors"))
-    return short.select(*events.columns).unionByName(instants.join(kept, ["_key", "_at"]).select(*events.columns))
+    of_frequent = short.select(*events.columns).unionByName(instants.join(kept, ["_key", "_at"]).select(*events.columns))
+    return kept_of_few.unionByName(of_frequent)
+
+
+def followed(timed: DataFrame, arrival: str, key: tuple[str, ...], ttl_ms: int) -> DataFrame:
+    """The kept rows of keys with few rows each: a key's rows in order of time and arrival, gone through once.
+
+    A row without time counts, as the first, only where its key has no two rows a period apart.
+    """
+    rest = [name for name in timed.columns if name not in (*key, arrival)]
+    row = F.struct("_at", F.col(arrival).alias("_order"), F.struct(*rest).alias("_rest"))
+
+    def ordered(a: Column, b: Column) -> Column:
+        earlier = lambda x, y: x.isNull() & y.isNotNull() | (x < y)
+        for name in ("_order", "_at"):
+            less, more = (F.coalesce(earlier(x[name], y[name]), F.lit(False)) for x, y in ((a, b), (b, a)))
+            rest_of = F.lit(0) if name == "_order" else by_order
+            by_order = F.when(less, -1).when(more, 1).otherwise(rest_of)
+        return by_order
+
+    def step(kept: Column, one: Column) -> Column:
+        last = F.get(kept, F.size(kept) - 1)["_at"]
+        return F.when(F.coalesce(one["_at"] - last >= ttl_ms, F.size(kept) == 0), F.concat(kept, F.array(one))).otherwise(kept)
+
+    rows = timed.groupBy(*key).agg(F.collect_list(row).alias("_rows"), (F.max("_at") - F.min("_at")).alias("_span"))
+    in_order = rows.withColumn("_rows", F.array_sort("_rows", ordered))
+    timely = F.filter("_rows", lambda one: one["_at"].isNotNull())
+    chain = F.aggregate(timely, F.slice("_rows", 1, 0), step)
+    kept = F.when(F.col("_span") >= ttl_ms, chain).otherwise(F.slice("_rows", 1, 1))
+    opened = in_order.select(*key, F.explode(kept).alias("_row"))
+    return opened.select(*key, F.col("_row._order").alias(arrival), *(F.col("_row._rest")[name].alias(name) for name in rest))
 
 
 def successors(instants: DataFrame, ttl_ms: int) -> DataFrame:

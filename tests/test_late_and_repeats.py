@@ -131,6 +131,23 @@ def test_ttl_of_one_steady_key(spark):
     assert "Arrow" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_few_rows_of_a_key_are_followed_in_one_pass(spark):
+    """Keys of few rows give what linked successors give, without them; nulls in key, time and device, repeats in one instant."""
+    rng = random.Random(8)
+    rows = []
+    for number in range(900):
+        seen = None if rng.random() < 0.05 else at(rng.choice([0, 1, 600, 3599, 3600, 3601, 7200, 7200, 9000, 20_000]) + rng.choice([0, 0, 1]))
+        rows.append((number, f"u{rng.randint(0, 120)}", "view", rng.choice([None, "D"]), at(0), {"n": number}, seen))
+    columns = "arrival bigint, user_id string, event_type string, device_id string, event_time timestamp, extra map<string, int>, arrived_at timestamp"
+    df = spark.createDataFrame(rows, columns).repartition(4)
+    followed, linked, mixed = (dedup.dedup_ttl(df, few_rows=n) for n in (200, 0, 4))
+    assert followed.columns == linked.columns == df.columns
+    want = sorted((r["arrival"], r["device_id"], r["extra"]["n"]) for r in linked.collect())
+    for found in (followed, mixed):
+        assert sorted((r["arrival"], r["device_id"], r["extra"]["n"]) for r in found.collect()) == want
+    assert followed._jdf.queryExecution().executedPlan().toString().count("Window") == 0
+
+
 def test_change_that_returns_after_the_period(spark):
     columns = "arrival bigint, user_id string, event_type string, device_id string, event_time timestamp, op_type string, seen timestamp"
     rows = [(k, "u", "view", None, at(0), op, at(s)) for k, op, s in [(0, "I", 0), (1, "U", 3599), (2, "D", 3600), (3, "I", 7199)]]

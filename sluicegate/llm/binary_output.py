@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import discard, slices, staged, table, with_start
-from sluicegate.llm.tokenize import encoder, narrow
+from sluicegate.llm.tokenize import binary, encoder, narrow
 from sluicegate.session import work_dir
 
 MAGIC = b"SGT1"
@@ -104,12 +104,13 @@ def tokens_of(docs: DataFrame, text: str, id_col: str, tokenizer: str, folder: s
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer, folder, special_as_text)
         for batch in slices(batches, "_text"):
-            wide = coder.encode_all(batch.column("_text").to_pylist())
+            ids, ends = coder.encode_column(batch.column("_text"))
+            cuts = [0, *ends.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
-                    pa.array([zlib.crc32(w) for w in wide], pa.int64()),
-                    pa.array([narrow(w, coder.vocabulary).tobytes() for w in wide], pa.binary()),
+                    pa.array([zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
+                    binary(narrow(ids, coder.vocabulary), ends),
                 ],
                 ["_id", "_crc", "tokens"],
             )

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluicegate.llm import binary_output as bo
@@ -43,6 +44,72 @@ def test_slices_and_special_tokens(name):
     assert got == [[*as_text.tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
 
 
+class Counting:
+    """A tokenizer that counts the characters it is given in batches."""
+
+    def __init__(self, inner):
+        self.__dict__.update(inner=inner, characters=0)
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def __setattr__(self, name, value):
+        setattr(self.inner, name, value)
+
+    def encode_batch_fast(self, texts, **options):
+        self.__dict__["characters"] += sum(map(len, texts))
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_pass_the_model_alone(name):
+    """Thousands of words never met take no pass through the whole tokenizer, in whatever case and before whatever marks."""
+    from sluicegate.llm.tokenize import Encoder
+
+    rnd = random.Random(5)
+    coder = Encoder(name)
+    words = ["".join(rnd.choice("aeiounrstléüñçßÉT") for _ in range(rnd.randint(1, 12))) for _ in range(5000)]
+    texts = [" ".join(words[a : a + 50]) for a in range(0, 5000, 50)]
+    coder.tokenizer = Counting(coder.tokenizer)
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in coder.encode_all(texts)]
+    assert coder.tokenizer.characters == 0
+    assert got == [whole(name, t) for t in texts]
+    texts = [" ".join(word + rnd.choice([".", ",", "!", "", "?!", ".\n"]) for word in words[a : a + 50]) for a in range(0, 5000, 50)]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in coder.encode_all(texts)]
+    assert coder.tokenizer.characters < 300  # marks, the ends of lines, and what puts them apart
+    assert got == [whole(name, t) for t in texts]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_cuts_are_those_of_the_whole_text(name):
+    """A dotted capital I takes its dot along in lower case, which then joins the marks; every letter near it, wide spaces, combining characters."""
+    rnd = random.Random(6)
+    bits = [" "] * 6 + ["\n", "\r\n", "\v", "\f ", "    ", "B", "The", "'S", "'ll", ".", ",", "?!", "İ", "H", "h", "\u0331", "\u0338", "×", "÷", "º", "Ⱥ", "\u1680", "\u2009", "\u2028", "\u3000"]
+    bits += ["\u201d", "…", "\u0130x", "<|ENDOFTEXT|>", "<|", "Σ", "ж", "😀", "\0", "\u00ad", "y" * 50]
+    texts = ["İ.", "x İ, y", "a\n b", " \nb", "a \n\nb\n", "H\u0331 h\u0331."] + ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
+    texts += [x for c in map(chr, range(0x300)) for x in (c, c + ".", f"a{c} b", f" {c}a?{c}")]
+    coder = encoder(name)
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in coder.encode_all(texts)]
+    coder.tokenizer.encode_special_tokens = False
+    for text, ids in zip(texts, got):
+        assert ids == whole(name, text), repr(text)
+
+
+def test_columns_in_slices_and_long_pieces():
+    from sluicegate.llm.tokenize import Encoder, binary
+
+    coder = Encoder("word_bpe_49k.json")
+    column = pa.array(["left out", None, "one two", "", "<|endoftext|> z", None, "three"])[1:]
+    ids, ends = coder.encode_column(column)
+    cuts = [0, *ends.tolist()]
+    assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [whole("word_bpe_49k.json", t) for t in column.to_pylist()]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in binary(ids, ends).to_pylist()] == [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+    assert [len(part) for part in coder.encode_column(column[:0])] == [0, 0]
+    before = coder.used, coder.count
+    coder.encode("z" * 500 + " " + "1" * 500)
+    assert (coder.used, coder.count) == before
+
+
 def test_memory_is_bounded(monkeypatch):
     from sluicegate.llm import tokenize
 

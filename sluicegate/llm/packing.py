@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import slices, staged, table, with_start
-from sluicegate.llm.tokenize import encoder, narrow
+from sluicegate.llm.tokenize import binary, encoder, narrow
 
 LENGTH = 4096
 #: Rows that a task returns at once, at most.
@@ -165,19 +165,19 @@ def pack(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, used = encoder(tokenizer, tokenizers, special_as_text), TaskContext.get().partitionId(), {}
         for batch in slices(batches, "_text"):
-            tokens = [narrow(ids, coder.vocabulary) for ids in coder.encode_all(batch.column("_text").to_pylist())]
-            starts = []
-            for queue, ids in zip(batch.column("_source").to_pylist(), tokens):
+            ids, ends = coder.encode_column(batch.column("_text"))
+            sizes, starts = np.diff(ends, prepend=0), []
+            for queue, size in zip(batch.column("_source").to_pylist(), sizes.tolist()):
                 starts.append(used.get(queue, 0))
-                used[queue] = starts[-1] + len(ids)
+                used[queue] = starts[-1] + size
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
                     batch.column("_source"),
                     pa.array([part] * batch.num_rows, pa.int64()),
                     pa.array(starts, pa.int64()),
-                    pa.array([len(ids) for ids in tokens], pa.int64()),
-                    pa.array([ids.tobytes() for ids in tokens], pa.binary()),
+                    pa.array(sizes, pa.int64()),
+                    binary(narrow(ids, coder.vocabulary), ends),
                 ],
                 ["_id", "_source", "_part", "_inside", "_size", "tokens"],
             )

@@ -233,3 +233,10 @@ def test_packing_of_nothing_and_bad_weights(nothing, odd):
     assert packing.pack(nothing).count() == 0
     with pytest.raises(ValueError):
         packing.pack(odd, weights={"src0": 1.0})
+
+
+def test_packed_ids_of_a_dotted_capital(spark):
+    """The dot that lower case makes of it belongs to the marks after it; beside nulls and strings of special tokens."""
+    texts = ["İ. x İ, y", None, "<|endoftext|> İ!", "", "plain words."]
+    rows = packing.pack(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {i: whole("word_bpe_49k.json", t) for i, t in enumerate(texts)}
